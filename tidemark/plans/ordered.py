@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 ROWS_PER_TASK = 1_000_000
 MAX_SLICES = 10_000
 SLICE, LARGE = "__slice", "__large"
-_KEY, _RANK, _EDGE, _HALO = "__key", "__rank", "__edge", "__halo"
+_KEY, _RANK, _EDGE, _HALO, _AT = "__key", "__rank", "__edge", "__halo", "__at"
 
 
 def rows_per_task(spark: SparkSession) -> int:
@@ -230,33 +230,37 @@ def exact_cut(df: DataFrame, order: Sequence[str], position: int) -> list[tuple[
     rest = df
     for i, column in enumerate(order):
         number = order_number(rest, column)
-        column_rest = rest.select(number.alias(_KEY), *order[i + 1 :])
+        column_rest = rest.select(number.alias(_AT), *order[i + 1 :])
         span, total = column_rest, column_rest.count()
         skipped = 0
         while total > limit:
             low, high = _bracket(span, position - skipped, total)
-            inside = span.where(F.col(_KEY).between(low, high))
-            below, kept = span.agg(F.count_if(F.col(_KEY) < low), F.count_if(F.col(_KEY).between(low, high))).first()
+            inside = span.where(F.col(_AT).between(low, high))
+            below, kept = span.agg(F.count_if(F.col(_AT) < low), F.count_if(F.col(_AT).between(low, high))).first()
             if kept == total or not below < position - skipped <= below + kept:
                 break  # no narrower range is known; the counts below are exact either way
             span, total, skipped = inside, kept, skipped + below
             if low == high:
                 break
-        counts = span.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__rows"))
-        totals = running(counts, [], [_KEY], {"__upto": ("sum", F.col("__rows"))}, sizing=span)
-        row = totals.where(F.col("__upto") >= position - skipped).orderBy(_KEY).first()
-        cut.append((column, row[_KEY]))
+        counts = span.groupBy(_AT).agg(F.count(F.lit(1)).alias("__rows"))
+        if total <= limit:  # one task can sort what is left
+            whole = Window.orderBy(_AT).rowsBetween(Window.unboundedPreceding, 0)
+            totals = counts.withColumn("__upto", F.sum("__rows").over(whole))
+        else:
+            totals = running(counts, [], [_AT], {"__upto": ("sum", F.col("__rows"))}, sizing=span)
+        row = totals.where(F.col("__upto") >= position - skipped).orderBy(_AT).first()
+        cut.append((column, row[_AT]))
         position = position - skipped - (row["__upto"] - row["__rows"])
         if position == row["__rows"]:
             break
-        rest = column_rest.where(F.col(_KEY) == F.lit(row[_KEY]))
+        rest = column_rest.where(F.col(_AT) == F.lit(row[_AT]))
     return cut
 
 
 def _bracket(span: DataFrame, position: int, total: int) -> tuple[object, object]:
     share = position / total
     probs = [max(0.0, share - 0.002), min(1.0, share + 0.002)]
-    return tuple(span.agg(F.percentile_approx(_KEY, probs, 10_000)).first()[0])
+    return tuple(span.agg(F.percentile_approx(_AT, probs, 10_000)).first()[0])
 
 
 def up_to_cut(df: DataFrame, cut: list[tuple[str, object]]) -> Column:
