@@ -13,3 +13,9 @@ def truncated(df: DataFrame, column: str, unit: str) -> Column:
 
 def micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def watermarked(df: DataFrame, column: str, delay: str) -> DataFrame:
+    """Declare the event time of a stream. Watermarks need a zoned time, so other times are cast;
+    callers cast results back to the type the column had."""
+    return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import LABEL, READINGS, Contract
-from tidemark.functions.times import truncated
+from tidemark.functions.times import truncated, watermarked
 from tidemark.plans.ordered import with_window
 
 # Physical limits at ingest, limits of one scoring request, items per request.
@@ -241,8 +241,9 @@ def downsample(
     df: DataFrame, value: str, width: str = "1 hour", contract: Contract = Contract(), watermark: str | None = None
 ) -> DataFrame:
     """Per entity and time bucket: count, mean, min, max and last reading. Works on streams too."""
+    kind = df.schema[contract.time].dataType
     if watermark:
-        df = df.withWatermark(contract.time, watermark)
+        df = watermarked(df, contract.time, watermark)
     grouped = df.groupBy(*contract.entity, F.window(contract.time, width).alias("__w")).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean_value"),
@@ -251,7 +252,7 @@ def downsample(
         F.max_by(value, contract.time).alias("last_value"),
     )
     measures = ["n", "mean_value", "min_value", "max_value", "last_value"]
-    return grouped.select(*contract.entity, F.col("__w.start").alias("bucket"), *measures)
+    return grouped.select(*contract.entity, F.col("__w.start").cast(kind).alias("bucket"), *measures)
 
 
 def drop_outliers(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> DataFrame:

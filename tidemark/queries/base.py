@@ -22,10 +22,10 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).withColumn("label", (F.col("event_type") == "error").cast("int"))
 
 
-def inference_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Events read as served requests."""
+def inference_log(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    """Events (a table, or a stream given as ``rows``) read as served requests."""
     failed = F.col("event_type") == "error"
-    return events(spark, sf).select(
+    return (events(spark, sf) if rows is None else rows).select(
         "event_id",
         "ts",
         F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("model"),
