@@ -112,7 +112,7 @@ def wasserstein(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     groups = [*by, "feature"]
     stepped = with_window(
         frame, groups, ["value"], lambda w: {"__next": F.lead("value").over(w)}, after=1,
-        sizing=long_values(df, columns, by),
+        sizing=long_values(df, columns, by), at_most=df.count() * len(columns),
     )
     gap = F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
     area = F.coalesce(F.sum(gap * (F.col("__next") - F.col("value"))), F.lit(0.0))

@@ -62,14 +62,16 @@ def slice_metrics(df: DataFrame, label: str, predicted: str, slices: Sequence[st
 
 
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct score, highest first: positives, negatives, and both counted from the top."""
+    """One row per distinct score: positives, negatives, both counted from the highest score, and totals."""
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     rows = rows.select(*by, (-F.col(score)).alias(_NEG), F.col(label).alias("__y"))
     counts = rows.groupBy(*by, _NEG).agg(
         F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") != 1).alias("neg")
     )
     sums = {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
-    return running(counts, by, [_NEG], sums, sizing=rows.select(*by, _NEG)).withColumn(score, -F.col(_NEG)).drop(_NEG)
+    totals = {"n_pos": F.col("pos"), "n_neg": F.col("neg")}
+    curve = running(counts, by, [_NEG], sums, totals, sizing=rows.select(*by, _NEG))
+    return curve.withColumn(score, -F.col(_NEG)).drop(_NEG)
 
 
 def _areas() -> list[Column]:
@@ -103,13 +105,10 @@ def classification_report(
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rate at every distinct threshold."""
-    totals = df.where(F.col(score).isNotNull()).agg(
-        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")
-    )
-    p, n = totals.select("p").scalar(), totals.select("n").scalar()
-    curve = score_curve(df, label, score)
-    return curve.select(
-        F.col(score).alias("threshold"), ratio(F.col("fp"), n).alias("fpr"), ratio(F.col("tp"), p).alias("tpr")
+    return score_curve(df, label, score).select(
+        F.col(score).alias("threshold"),
+        ratio(F.col("fp"), F.col("n_neg")).alias("fpr"),
+        ratio(F.col("tp"), F.col("n_pos")).alias("tpr"),
     )
 
 

@@ -21,37 +21,29 @@ def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on null-safe keys, keeping the keys of the left side."""
-    named = right.select(*[F.col(k).alias(f"__j_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__j_{k}"))
-    return left.join(named, match).drop(*[f"__j_{k}" for k in keys])
-
-
 def two_sided(df: DataFrame, columns: Sequence[str], is_reference: Column, by: Sequence[str] = ()) -> DataFrame:
     """Distinct values of each column with their counts on both sides.
 
     Columns: by..., feature, value, ref, cur, cum_ref, cum_cur (counts up to the value), n_ref, n_cur.
     """
     long = long_values(df.withColumn("__ref", is_reference), columns, [*by, "__ref"])
-    return with_running(count_sides(long, by), by, long)
+    return with_running(count_sides(long, by), by, long, df.count() * len(columns))
 
 
 def count_sides(long: DataFrame, by: Sequence[str]) -> DataFrame:
-    return long.groupBy(*by, "feature", "value").agg(
-        F.count_if(F.col("__ref")).alias("ref"), F.count_if(~F.col("__ref")).alias("cur")
+    counts = long.groupBy(*by, "feature", "value").agg(
+        F.count_if(F.col("__ref")).alias("ref"), F.count(F.lit(1)).alias("__n")
     )
+    return counts.select(*by, "feature", "value", "ref", (F.col("__n") - F.col("ref")).alias("cur"))
 
 
-def with_running(counts: DataFrame, by: Sequence[str], sizing: DataFrame | None = None) -> DataFrame:
+def with_running(
+    counts: DataFrame, by: Sequence[str], sizing: DataFrame | None = None, at_most: int | None = None
+) -> DataFrame:
     """Add running counts and side totals to distinct values with ``ref`` and ``cur`` counts."""
-    groups = [*by, "feature"]
     sums = {"cum_ref": ("sum", F.col("ref")), "cum_cur": ("sum", F.col("cur"))}
-    frame = running(counts, groups, ["value"], sums, sizing=sizing)
-    totals = counts.groupBy(*groups).agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    return _joined(frame, totals, groups)
+    totals = {"n_ref": F.col("ref"), "n_cur": F.col("cur")}
+    return running(counts, [*by, "feature"], ["value"], sums, totals, sizing, at_most)
 
 
 def exact_quantiles(
@@ -64,9 +56,9 @@ def exact_quantiles(
     groups = [*by, "feature"]
     long = long_values(df, columns, by)
     counts = long.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("n"))
-    frame = running(counts, groups, ["value"], {"upto": ("sum", F.col("n"))}, sizing=long)
-    totals = counts.groupBy(*groups).agg(F.sum("n").alias("total"))
-    placed = _joined(frame, totals, groups)
+    placed = running(
+        counts, groups, ["value"], {"upto": ("sum", F.col("n"))}, {"total": F.col("n")}, long, df.count() * len(columns)
+    )
     picks = [F.first("total").alias("n")]
     for i, p in enumerate(probabilities):
         spot = (F.col("total") - 1) * F.lit(float(p))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 4_000_000
 MAX_SLICES = 10_000
 SLICE, LARGE = "__slice", "__large"
 _KEY, _RANK, _EDGE, _HALO, _AT = "__key", "__rank", "__edge", "__halo", "__at"
@@ -89,16 +89,21 @@ class Slices:
         return cut.withColumn(SLICE, F.when(F.col(LARGE), place).otherwise(F.lit(0))).drop(_KEY)
 
 
-def find_slices(df: DataFrame, by: Sequence[str], column: str, sizing: DataFrame | None = None) -> Slices | None:
+def find_slices(
+    df: DataFrame, by: Sequence[str], column: str, sizing: DataFrame | None = None, at_most: int | None = None
+) -> Slices | None:
     """Cuts for the groups that are too large for one task, or None when there are none.
 
-    ``sizing`` is a cheaper table with the same keys to count instead of ``df``. The limit grows with
-    the table so that at most ``MAX_SLICES`` groups can exceed it: the list brought to the driver and
-    broadcast has that bound. With no ``by`` columns the whole table is one group and always sliced.
+    ``sizing`` is a cheaper table with the same keys to count instead of ``df``, ``at_most`` a known
+    bound on its rows that may make counting unnecessary. The limit grows with the table so that at
+    most ``MAX_SLICES`` groups can exceed it: the list brought to the driver and broadcast has that
+    bound. With no ``by`` columns the whole table is one group and always sliced.
     """
     sizing = df if sizing is None else sizing
     spark = df.sparkSession
     limit = rows_per_task(spark)
+    if by and at_most is not None and at_most <= limit:
+        return None
     total = sizing.count()
     if not by:
         slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / limit))
@@ -155,13 +160,14 @@ def with_window(
     before: int = 0,
     after: int = 0,
     sizing: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``before`` rows back and ``after`` rows ahead.
 
     ``columns`` gets the window (partitioned and ordered, no frame) and returns the new columns.
     """
     by = list(by)
-    slices = find_slices(df, by, order[0], sizing)
+    slices = find_slices(df, by, order[0], sizing, at_most)
     if slices is None:
         return df.withColumns(columns(Window.partitionBy(*by).orderBy(*order)))
     sliced = slices.assign(df)
@@ -174,48 +180,54 @@ def with_window(
     return rows.withColumns(columns(window)).where(~F.col(_HALO)).drop(_HALO, SLICE, LARGE)
 
 
+_AGGREGATE = {"sum": F.sum, "max": F.max, "min": F.min}
+_MERGE = {"sum": lambda a, b: F.coalesce(a + b, a, b), "max": F.greatest, "min": F.least}
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
     values: dict[str, tuple[str, Column]],
+    totals: dict[str, Column] | None = None,
     sizing: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add running aggregates from the first row of the group up to the current row.
 
-    ``values`` maps the new column to ("sum" | "max" | "min", expression). Slices add the combined
-    value of earlier slices, found from one row per slice.
+    ``values`` maps the new column to ("sum" | "max" | "min", expression), ``totals`` maps new columns
+    to expressions summed over the whole group. Slices add the combined value of earlier slices,
+    found from one row per slice.
     """
-    by = list(by)
-    aggregate = {"sum": F.sum, "max": F.max, "min": F.min}
-    merge = {
-        "sum": lambda a, b: F.coalesce(a + b, a, b),
-        "max": lambda a, b: F.greatest(a, b),
-        "min": lambda a, b: F.least(a, b),
-    }
-    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-    slices = find_slices(df, by, order[0], sizing)
+    by, totals = list(by), totals or {}
+    slices = find_slices(df, by, order[0], sizing, at_most)
+
+    def columns(keys: list[str]) -> dict[str, Column]:
+        group = Window.partitionBy(*keys)
+        upto = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        made = {n: _AGGREGATE[k](e).over(upto) for n, (k, e) in values.items()}
+        return {**made, **{n: F.sum(e).over(group) for n, e in totals.items()}}
+
     if slices is None:
-        window = upto(Window.partitionBy(*by).orderBy(*order))
-        return df.withColumns({n: aggregate[k](e).over(window) for n, (k, e) in values.items()})
+        return df.withColumns(columns(by))
     sliced = slices.assign(df)
     keys = [*by, SLICE]
-    parts = (
-        sliced.where(F.col(LARGE)).groupBy(*keys).agg(*[aggregate[k](e).alias(n) for n, (k, e) in values.items()])
-    )
-    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = [_AGGREGATE[k](e).alias(n) for n, (k, e) in values.items()] + [F.sum(e).alias(n) for n, e in totals.items()]
+    parts = sliced.where(F.col(LARGE)).groupBy(*keys).agg(*pieces)
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select(
         *[F.col(k).alias(f"__c_{k}") for k in keys],
-        *[aggregate[k](n).over(earlier).alias(f"__from_{n}") for n, (k, _) in values.items()],
+        *[_AGGREGATE[k](n).over(earlier).alias(f"__from_{n}") for n, (k, _) in values.items()],
+        *[F.sum(n).over(group).alias(f"__all_{n}") for n in totals],
     )
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__c_{k}"))
-    joined = sliced.join(carried, match, "left")
-    window = upto(Window.partitionBy(*keys).orderBy(*order))
-    inside = joined.withColumns({n: aggregate[k](e).over(window) for n, (k, e) in values.items()})
-    whole = inside.withColumns({n: merge[k](F.col(f"__from_{n}"), F.col(n)) for n, (k, _) in values.items()})
-    return whole.select(*df.columns, *values)
+    inside = sliced.join(carried, match, "left").withColumns(columns(keys))
+    whole = {n: _MERGE[k](F.col(f"__from_{n}"), F.col(n)) for n, (k, _) in values.items()}
+    whole.update({n: F.coalesce(F.col(f"__all_{n}"), F.col(n)) for n in totals})
+    return inside.withColumns(whole).select(*df.columns, *values, *totals)
 
 
 def exact_cut(df: DataFrame, order: Sequence[str], position: int) -> list[tuple[str, object]]:
