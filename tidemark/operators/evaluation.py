@@ -65,12 +65,12 @@ def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -
     """One row per distinct score: positives, negatives, both counted from the highest score, and totals."""
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     rows = rows.select(*by, (-F.col(score)).alias(_NEG), F.col(label).alias("__y"))
-    counts = rows.groupBy(*by, _NEG).agg(
-        F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") != 1).alias("neg")
-    )
+    hits = (F.col("__y") == 1).cast("long")
+    counts = rows.groupBy(*by, _NEG).agg(F.sum(hits).alias("pos"), F.sum(1 - hits).alias("neg"))
     sums = {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
     totals = {"n_pos": F.col("pos"), "n_neg": F.col("neg")}
-    curve = running(counts, by, [_NEG], sums, totals, sizing=rows.select(*by, _NEG))
+    raw = {"tp": hits, "fp": 1 - hits, "n_pos": hits, "n_neg": 1 - hits}
+    curve = running(counts, by, [_NEG], sums, totals, sizing=rows, raw=raw)
     return curve.withColumn(score, -F.col(_NEG)).drop(_NEG)
 
 

@@ -123,10 +123,11 @@ def pareto_front(df: DataFrame, gain: str, cost: str) -> DataFrame:
     Gains are reduced to their lowest cost and walked from the highest down with a running minimum
     of the cost; the front is where that minimum first reaches each of its values.
     """
-    best = df.where(F.col(gain).isNotNull() & F.col(cost).isNotNull()).groupBy((-F.col(gain)).alias("__minus_gain")).agg(
-        F.min(cost).alias("__cost")
-    )
-    walked = running(best, [], ["__minus_gain"], {"__low": ("min", F.col("__cost"))}, sizing=df.select((-F.col(gain)).alias("__minus_gain")))
+    points = df.where(F.col(gain).isNotNull() & F.col(cost).isNotNull())
+    points = points.select((-F.col(gain)).alias("__minus_gain"), F.col(cost).alias("__cost"))
+    best = points.groupBy("__minus_gain").agg(F.min("__cost").alias("__cost"))
+    low = {"__low": ("min", F.col("__cost"))}
+    walked = running(best, [], ["__minus_gain"], low, sizing=points, raw={"__low": F.col("__cost")})
     front = walked.groupBy("__low").agg(F.min("__minus_gain").alias("__minus_gain"))
     points = front.select((-F.col("__minus_gain")).alias(gain), F.col("__low").alias(cost))
     return df.join(points, [gain, cost], "left_semi")

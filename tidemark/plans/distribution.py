@@ -40,10 +40,17 @@ def count_sides(long: DataFrame, by: Sequence[str]) -> DataFrame:
 def with_running(
     counts: DataFrame, by: Sequence[str], sizing: DataFrame | None = None, at_most: int | None = None
 ) -> DataFrame:
-    """Add running counts and side totals to distinct values with ``ref`` and ``cur`` counts."""
+    """Add running counts and side totals to distinct values with ``ref`` and ``cur`` counts.
+
+    ``sizing`` is the long table the counts were made from.
+    """
     sums = {"cum_ref": ("sum", F.col("ref")), "cum_cur": ("sum", F.col("cur"))}
     totals = {"n_ref": F.col("ref"), "n_cur": F.col("cur")}
-    return running(counts, [*by, "feature"], ["value"], sums, totals, sizing, at_most)
+    raw = None
+    if sizing is not None:
+        ref, cur = F.col("__ref").cast("long"), (~F.col("__ref")).cast("long")
+        raw = {"cum_ref": ref, "cum_cur": cur, "n_ref": ref, "n_cur": cur}
+    return running(counts, [*by, "feature"], ["value"], sums, totals, sizing, at_most, raw)
 
 
 def exact_quantiles(
@@ -57,7 +64,8 @@ def exact_quantiles(
     long = long_values(df, columns, by)
     counts = long.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("n"))
     placed = running(
-        counts, groups, ["value"], {"upto": ("sum", F.col("n"))}, {"total": F.col("n")}, long, df.count() * len(columns)
+        counts, groups, ["value"], {"upto": ("sum", F.col("n"))}, {"total": F.col("n")}, long, df.count() * len(columns),
+        {"upto": F.lit(1).cast("long"), "total": F.lit(1).cast("long")},
     )
     picks = [F.first("total").alias("n")]
     for i, p in enumerate(probabilities):

@@ -192,12 +192,15 @@ def running(
     totals: dict[str, Column] | None = None,
     sizing: DataFrame | None = None,
     at_most: int | None = None,
+    raw: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add running aggregates from the first row of the group up to the current row.
 
     ``values`` maps the new column to ("sum" | "max" | "min", expression), ``totals`` maps new columns
     to expressions summed over the whole group. Slices add the combined value of earlier slices,
-    found from one row per slice.
+    found from one row per slice. When ``df`` is an aggregate of ``sizing``, ``raw`` gives the same
+    columns as expressions over ``sizing``: the slice values then come from a plain scan instead of
+    running the aggregate a second time.
     """
     by, totals = list(by), totals or {}
     slices = find_slices(df, by, order[0], sizing, at_most)
@@ -212,8 +215,9 @@ def running(
         return df.withColumns(columns(by))
     sliced = slices.assign(df)
     keys = [*by, SLICE]
-    pieces = [_AGGREGATE[k](e).alias(n) for n, (k, e) in values.items()] + [F.sum(e).alias(n) for n, e in totals.items()]
-    parts = sliced.where(F.col(LARGE)).groupBy(*keys).agg(*pieces)
+    ways = {**{n: (_AGGREGATE[k], e) for n, (k, e) in values.items()}, **{n: (F.sum, e) for n, e in totals.items()}}
+    pieces = [way(raw[n] if raw else e).alias(n) for n, (way, e) in ways.items()]
+    parts = (slices.assign(sizing) if raw else sliced).where(F.col(LARGE)).groupBy(*keys).agg(*pieces)
     group = Window.partitionBy(*by)
     earlier = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select(
