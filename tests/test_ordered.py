@@ -57,7 +57,7 @@ def test_windows_do_not_depend_on_slicing(spark, limit):
 
 def test_large_groups_are_split_over_many_slices(spark, sliced):
     df = skewed(spark)
-    slices = od.find_slices(df, ["k"], "ts")
+    slices = od.find_slices(df, ["k"], ["ts"])
     counts = slices.assign(df).groupBy("k", od.SLICE).count().collect()
     hot = [r["count"] for r in counts if r["k"] == "hot"]
     assert len(hot) > 3 and max(hot) <= 60
@@ -95,9 +95,32 @@ def test_exact_cut_finds_the_border_row(spark, sliced, position):
     assert ids.where(od.up_to_cut(ids, cut)).count() == position
 
 
+def test_one_hot_time_is_cut_by_the_next_order_column(spark):
+    """Half of the rows share entity and time and differ in the tie column only."""
+    df = skewed(spark, 200).withColumn("id", F.xxhash64("ts") % 1000003)
+    copies = spark.range(200).select(
+        F.lit("hot").alias("k"), F.lit(T0 + timedelta(seconds=700)).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") * 1.5).alias("v"), (F.col("id") * 7 % 211).alias("id"),
+    )
+    both = df.unionByName(copies)
+    key = Contract(("k",), "ts", ("id",))
+    feature = [fx.Feature("m", "v", "mean", 5), fx.Feature("l", "v", "lag", 3)]
+    plain, whole = rows(fx.build_features(both, feature, key)), rows(fx.expanding_mean(both, "v", key), 12)
+    spark.conf.set("spark.tidemark.rowsPerTask", "30")
+    try:
+        slices = od.find_slices(both, ["k"], key.order)
+        assert len(slices.levels) == 2
+        most = slices.assign(both).where("k = 'hot'").groupBy(od.SLICE).count().agg(F.max("count")).first()[0]
+        assert most <= 60
+        assert rows(fx.build_features(both, feature, key)) == plain
+        assert rows(fx.expanding_mean(both, "v", key), 12) == whole
+    finally:
+        spark.conf.unset("spark.tidemark.rowsPerTask")
+
+
 def test_cuts_are_constants_of_the_plan(spark, sliced):
     """Two reads of one table fall into the same slices."""
     df = skewed(spark)
-    slices = od.find_slices(df, ["k"], "ts")
+    slices = od.find_slices(df, ["k"], ["ts"])
     one, two = (slices.assign(df).select("ts", od.SLICE) for _ in range(2))
     assert one.exceptAll(two).isEmpty()

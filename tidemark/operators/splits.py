@@ -59,7 +59,7 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str], test: float,
     """Random split with exactly round(n * test) test rows in every stratum of size n."""
     marked = df.withColumn("__share", hash_share(key, seed))
     one = {"__place": ("sum", F.lit(1))}
-    ranked = running(marked, [label], ["__share", *key], one, sizing=marked.select(label, "__share"))
+    ranked = running(marked, [label], ["__share", *key], one, sizing=marked.select(label, "__share", *key))
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__size")).withColumnRenamed(label, "__label")
     joined = ranked.join(sizes, F.col(label).eqNullSafe(F.col("__label")))
     chosen = F.col("__place") <= F.round(F.col("__size") * F.lit(float(test)))

@@ -90,7 +90,7 @@ def asof_join(
         return first
 
     keys_only = [d.select(*by, _TIME) for d in (looked_up, *stacks)]
-    slices = find_slices(keys_only[0], by, _TIME, sizing=stack(keys_only[0], keys_only[1:]))
+    slices = find_slices(keys_only[0], by, [_TIME], sizing=stack(keys_only[0], keys_only[1:]))
     if slices is None:
         order = [_TIME, _SIDE, *[t for tie in ties for t in tie]]
         found = _carry(stack(looked_up, stacks), by, order, packs)

@@ -10,6 +10,7 @@ second read of the same data always agrees. Groups below the limit take the ordi
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 4_000_000
 MAX_SLICES = 10_000
+_BASE = 2 * MAX_SLICES + 3  # parts of one level: cuts, and one more cut after each heavy value
 SLICE, LARGE = "__slice", "__large"
 _KEY, _RANK, _EDGE, _HALO, _AT = "__key", "__rank", "__edge", "__halo", "__at"
 
@@ -39,15 +41,29 @@ def order_number(df: DataFrame, column: str) -> Column:
     return c
 
 
-def equi_depth_cuts(df: DataFrame, column: str, slices: int) -> list[float]:
-    """Values that split the column into ``slices`` parts of about equal row counts."""
+def _sliceable(df: DataFrame, column: str) -> bool:
+    """Whether a double orders the column as Spark does."""
+    return isinstance(
+        df.schema[column].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+    )
+
+
+def equi_depth_cuts(df: DataFrame, column: str, slices: int) -> tuple[list[float], list[float]]:
+    """Values that split the column into ``slices`` parts of about equal row counts, and heavy values.
+
+    A value that several cuts fall on holds more than one part; it gets a part of its own, from the
+    value up to the next double, and is reported as heavy when that part holds this value only.
+    """
     if slices < 2:
-        return []
+        return [], []
     fractions = [i / slices for i in range(1, slices)]
     numbers = df.select(order_number(df, column).cast("double").alias(_KEY))
     accuracy = max(10_000, 10 * slices)
-    found = numbers.where(~F.isnan(_KEY)).agg(F.percentile_approx(_KEY, fractions, accuracy)).first()[0]
-    return sorted(set(found or []))
+    found = numbers.where(~F.isnan(_KEY)).agg(F.percentile_approx(_KEY, fractions, accuracy)).first()[0] or []
+    kind = df.schema[column].dataType
+    exact = 0.0 if isinstance(kind, T.DecimalType) else math.inf if isinstance(kind, T.FractionalType) else 2.0**53
+    heavy = sorted({v for v, n in Counter(found).items() if n > 1 and abs(v) < exact})
+    return sorted({*found, *(math.nextafter(v, math.inf) for v in heavy)}), heavy
 
 
 def same_row(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -58,14 +74,22 @@ def same_row(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
+@dataclass(frozen=True)
+class Level:
+    """Cuts of one order column; only parts that hold a heavy value are cut further by the next level."""
+
+    column: str
+    cuts: list[float]
+    heavy: list[float]
+
+
 @dataclass(frozen=True)
 class Slices:
     """How the large groups of a table are cut. ``large`` is None when every row is sliced."""
 
-    column: str
     by: tuple[str, ...]
     large: DataFrame | None
-    cuts: list[float]
+    levels: list[Level]
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the slice number (0 for ordinary groups) and the large-group flag."""
@@ -80,17 +104,39 @@ class Slices:
             # at most MAX_SLICES rows, see `find_slices`
             df = df.join(F.broadcast(marks), match, "left").drop(*keys)
             df = df.withColumn(LARGE, F.coalesce(F.col(LARGE), F.lit(False)))
-        if not self.cuts:
-            return df.withColumn(SLICE, F.lit(0))
-        numbered = df.withColumn(_KEY, order_number(df, self.column).cast("double"))
-        edges = [-math.inf, *self.cuts, math.inf]
-        cut = Bucketizer(splits=edges, inputCol=_KEY, outputCol=SLICE, handleInvalid="keep").transform(numbered)
-        place = F.coalesce(F.col(SLICE).cast("int"), F.lit(-1))
-        return cut.withColumn(SLICE, F.when(F.col(LARGE), place).otherwise(F.lit(0))).drop(_KEY)
+        columns, number, deeper = df.columns, F.lit(0).cast("long"), F.col(LARGE)
+        for i, level in enumerate(self.levels):
+            key, part = f"{_KEY}{i}", f"{SLICE}{i}"
+            df = df.withColumn(key, order_number(df, level.column).cast("double"))
+            if level.cuts:
+                edges = [-math.inf, *level.cuts, math.inf]
+                df = Bucketizer(splits=edges, inputCol=key, outputCol=part, handleInvalid="keep").transform(df)
+                place = F.coalesce(F.col(part).cast("long"), F.lit(-1))
+            else:
+                place = F.lit(0)
+            number = number * _BASE + F.when(deeper, place).otherwise(0)
+            deeper = deeper & F.coalesce(F.col(key).isin(level.heavy), F.lit(False))
+        return df.withColumn(SLICE, number).select(*columns, SLICE)
+
+
+def _levels(df: DataFrame, order: Sequence[str], slices: int) -> list[Level]:
+    """Cuts of the first order column, then of the next one among the rows of heavy values, and so on."""
+    levels: list[Level] = []
+    for column in order:
+        if column not in df.columns or not _sliceable(df, column):
+            break
+        cuts, heavy = equi_depth_cuts(df, column, slices)
+        levels.append(Level(column, cuts, heavy))
+        if not heavy:
+            break
+        df = df.where(order_number(df, column).cast("double").isin(heavy))
+    if not levels:
+        raise ValueError(f"order by a number or a time first, not by {order[0]}")
+    return levels
 
 
 def find_slices(
-    df: DataFrame, by: Sequence[str], column: str, sizing: DataFrame | None = None, at_most: int | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], sizing: DataFrame | None = None, at_most: int | None = None
 ) -> Slices | None:
     """Cuts for the groups that are too large for one task, or None when there are none.
 
@@ -107,7 +153,7 @@ def find_slices(
     total = sizing.count()
     if not by:
         slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / limit))
-        return Slices(column, (), None, equi_depth_cuts(sizing, column, min(slices, MAX_SLICES)))
+        return Slices((), None, _levels(sizing, order, min(slices, MAX_SLICES)))
     if total <= limit:
         return None
     limit = max(limit, math.ceil(total / MAX_SLICES))
@@ -120,7 +166,7 @@ def find_slices(
     large = spark.createDataFrame([tuple(r[b] for b in by) for r in found], schema)
     slices = min(MAX_SLICES, math.ceil(rows / limit) + 1)
     inside = sizing.join(F.broadcast(large), same_row(sizing, large, by), "left_semi")
-    return Slices(column, tuple(by), large, equi_depth_cuts(inside, column, slices))
+    return Slices(tuple(by), large, _levels(inside, order, slices))
 
 
 def _near_rows(sliced: DataFrame, by: list[str], order: Sequence[str], count: int, following: bool) -> DataFrame:
@@ -167,7 +213,7 @@ def with_window(
     ``columns`` gets the window (partitioned and ordered, no frame) and returns the new columns.
     """
     by = list(by)
-    slices = find_slices(df, by, order[0], sizing, at_most)
+    slices = find_slices(df, by, order, sizing, at_most)
     if slices is None:
         return df.withColumns(columns(Window.partitionBy(*by).orderBy(*order)))
     sliced = slices.assign(df)
@@ -203,7 +249,7 @@ def running(
     running the aggregate a second time.
     """
     by, totals = list(by), totals or {}
-    slices = find_slices(df, by, order[0], sizing, at_most)
+    slices = find_slices(df, by, order, sizing, at_most)
 
     def columns(keys: list[str]) -> dict[str, Column]:
         group = Window.partitionBy(*keys)
