@@ -22,9 +22,22 @@ def duck(request):
     return connect(SMALL)
 
 
+def check_plan(df):
+    """No pairing of rows, no row-at-a-time Python, nothing large ordered in one task."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert word not in plan
+    for line in plan.splitlines():
+        if "Window [" in line and re.search(r"windowspecdefinition\((specified|__slice#\d+L? ASC)", line):
+            # only the sums per slice, at most MAX_SLICES rows, are ordered in one task
+            assert "__from_" in line or "__all_" in line
+
+
 @pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_matches_sql(spark, duck, small, name):
-    assert compare(spark, duck, name, small) is None
+    got = catalog.QUERIES[name](spark, small)
+    check_plan(got)
+    assert compare(spark, duck, name, small, got) is None
 
 
 @pytest.mark.parametrize("name", SLICED)
@@ -32,21 +45,6 @@ def test_sliced_plan_matches_sql(spark, duck, small, sliced, name):
     assert compare(spark, duck, name, small) is None
 
 
-TRAINED = {"gbt_score", "logreg_score", "lr_forecast", "positive_proba", "batch_score", "search_space_sample"}
-PLANNED = [n for n in catalog.QUERIES if n not in TRAINED and not n.startswith("stream_")]
-
-
-@pytest.mark.parametrize("name", PLANNED)
-def test_plan_has_no_pairing_and_no_row_python(spark, small, name):
-    plan = catalog.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
-        assert word not in plan
-    for line in plan.splitlines():
-        if "Window [" in line and re.search(r"windowspecdefinition\((specified|__slice#\d+ ASC)", line):
-            # only the sums per slice, at most MAX_SLICES rows, are ordered in one task
-            assert "__from_" in line or "__all_" in line
-
-
 def test_names_and_sql_agree():
     assert set(catalog.SQL) <= set(catalog.QUERIES)
     assert not [n for n in catalog.QUERIES if "pipeline" in n or re.match(r"op\d", n)]

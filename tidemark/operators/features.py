@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.contract import FEATURE_COLUMNS, Contract
-from tidemark.plans.ordered import running, with_window
+from tidemark.operators.quality import dedup_first
+from tidemark.plans.ordered import find_slices, running, with_window
 
 
 @dataclass(frozen=True)
@@ -68,11 +69,14 @@ def build_features(
     contract: Contract = Contract(),
     fill: float | None = 0.0,
     reset_at: Sequence[str] = (),
+    sizing: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add the features; rows and input columns stay as they are.
 
     All features share one shuffle by entity and one sort. Missing history becomes ``fill`` in the
     feature columns only. ``reset_at`` names extra columns (such as the split) where history restarts.
+    When ``df`` is costly, ``sizing`` is a cheaper table to count the rows per entity on.
     """
     needed = {*contract.key, *(f.source for f in features)}
     missing = sorted(needed - set(df.columns))
@@ -86,7 +90,24 @@ def build_features(
         return {name: F.coalesce(c, F.lit(fill)) for name, c in made.items()}
 
     reach = max((f.reach for f in features), default=0)
-    return with_window(df, [*contract.entity, *reset_at], contract.order, columns, before=reach)
+    by = [*contract.entity, *reset_at]
+    return with_window(df, by, contract.order, columns, before=reach, sizing=sizing, at_most=at_most)
+
+
+def clean_and_build(
+    df: DataFrame, features: Sequence[Feature], contract: Contract, fill: float | None = 0.0
+) -> DataFrame:
+    """Keep the first row per entity and time, then add the features.
+
+    Without an oversized entity the rows are shuffled by entity once: de-duplication and windows then
+    share that partitioning and its sort. Otherwise copies collapse before the shuffle, and the
+    windows run on slices.
+    """
+    keys = df.select(*contract.entity, *contract.order)
+    if find_slices(keys, contract.entity, contract.order) is None:
+        clean = dedup_first(df.repartition(*contract.entity), contract)
+        return build_features(clean, features, contract, fill, at_most=0)
+    return build_features(dedup_first(df, contract), features, contract, fill, sizing=keys)
 
 
 def leak_compare(df: DataFrame, sources: Sequence[str], window: int, contract: Contract = Contract()) -> DataFrame:

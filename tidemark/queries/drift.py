@@ -10,6 +10,7 @@ from tidemark.operators import drift as dr
 from tidemark.operators import evaluation as ev
 from tidemark.operators import store as st
 from tidemark.operators.splits import reference_current
+from tidemark.plans.scratch import written
 from tidemark.queries.base import LOG, SCORED_SQL, events, labelled, rounded, scored
 from tidemark.queries.evaluation import CONFUSION, RATES
 from tidemark.session import table
@@ -284,7 +285,7 @@ def concept_drift(spark, sf):
     late = df.where("event_type = 'error'").select("user_id", "ts", F.lit(1).alias("hit"))
     source = st.Source(late, LOG, ("hit",), timedelta(days=1))
     joined = st.asof_join(made, [source], LOG, direction="forward").withColumn("label", F.coalesce("hit", F.lit(0)))
-    daily = joined.select(truncated(joined, "ts", "day").alias("period"), "label", "score")
+    daily = written(joined.select(truncated(joined, "ts", "day").alias("period"), "label", "score"), "labelled")
     return rounded(ev.classification_report(daily, "label", "score", 0.1, ["period"]).drop("aucpr"))
 
 

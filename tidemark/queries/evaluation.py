@@ -6,6 +6,7 @@ from tidemark.catalog import query
 from tidemark.functions.exprs import argmax
 from tidemark.operators import evaluation as ev
 from tidemark.operators import features as fx
+from tidemark.plans.scratch import written
 from tidemark.queries.base import LOG, SCORED_SQL, labelled, rounded, scored
 from tidemark.session import table
 
@@ -109,8 +110,8 @@ def roc_points(spark, sf):
 )
 def leak_gap(spark, sf):
     both = fx.leak_compare(labelled(spark, sf).select("user_id", "ts", "value", "label"), ["value"], 6, LOG)
-    both = both.withColumn("honest", F.round("value__ok", 9))
-    return rounded(ev.leak_gap(both, "label", "value__leak", "honest"))
+    both = both.select("label", "value__leak", F.round("value__ok", 9).alias("honest"))
+    return rounded(ev.leak_gap(written(both, "leak"), "label", "value__leak", "honest"))
 
 
 def _classified(spark, sf):

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import query
 from tidemark.operators import features as fx
-from tidemark.operators.quality import dedup_first
 from tidemark.contract import Contract
 from tidemark.queries.base import LOG, events, labelled, rounded
 
@@ -109,14 +108,13 @@ def lag_features(spark, sf):
     """,
 )
 def feature_row(spark, sf):
-    """De-duplicate, then all four sensor features in one pass."""
+    """De-duplicate, then all four sensor features, in one shuffle."""
     readings = events(spark, sf).select(
         *KEYS, F.col("value").alias("temperature"), (F.col("value") * 2).alias("vibration"),
         (F.col("value") + 1).alias("current"),
     )
-    clean = dedup_first(readings, Contract(("user_id",), "ts", ("event_id",)))
     features = fx.sensor_features(6)
-    made = fx.build_features(clean, features, LOG)
+    made = fx.clean_and_build(readings, features, Contract(("user_id",), "ts", ("event_id",)))
     return rounded(made.select(*KEYS, *[f.name for f in features]), 6, vib_roll_std=4)
 
 

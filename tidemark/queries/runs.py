@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import query
 from tidemark.operators import runs as rn
+from tidemark.plans.scratch import written
 from tidemark.queries.base import events, inference_log, rounded
 from tidemark.queries.splits import SHARE
 from tidemark.session import table
@@ -129,7 +130,7 @@ def param_response(spark, sf):
 def median_prune(spark, sf):
     lines = table(spark, sf, "lineitem")
     steps = lines.groupBy(F.col("l_orderkey").alias("trial"), F.col("l_linenumber").alias("step"))
-    return rn.median_prune(steps.agg(F.max("l_extendedprice").alias("value")), warmup=3)
+    return rn.median_prune(written(steps.agg(F.max("l_extendedprice").alias("value")), "steps"), warmup=3)
 
 
 @query(
