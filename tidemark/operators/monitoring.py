@@ -220,3 +220,28 @@ def health_rollup(checks: DataFrame, loaded: str = "loaded", tick: str = "tick")
         F.count(F.lit(1)).alias("n_models"), F.bool_and(F.coalesce(F.col(loaded), F.lit(False))).alias("__ok")
     )
     return grouped.select(tick, "n_models", F.when(F.col("__ok"), "ok").otherwise("degraded").alias("status"))
+
+
+def alert_report(
+    log: DataFrame,
+    rules: Sequence[AlertRule] = ALERT_RULES,
+    window: timedelta = RATE_WINDOW,
+    step: timedelta = RATE_STEP,
+    shift_window: timedelta = SHIFT_WINDOW,
+    floor: float = RATE_FLOOR,
+    baseline: float = PREDICTION_BASELINE,
+) -> DataFrame:
+    """All raised alerts of the rules: rule, model (``*`` for rules over all models), since, fired_at, last_tick."""
+    everywhere = F.lit("*").alias("model")
+    ticks = {
+        "error_ratio": lambda: error_ratio(log, window, step, floor).select(everywhere, "tick", "error_ratio"),
+        "p95": lambda: latency_quantiles(log, (0.95,), window, step),
+        "qps": lambda: qps(log, window, step),
+        "shift": lambda: prediction_shift(log, baseline, window=shift_window, step=step, floor=floor),
+    }
+    found = None
+    for rule in rules:
+        states = alert_states(ticks[rule.measure](), ["model"], rule.condition(), rule.hold, step)
+        raised = alerts(states, ["model"]).select(F.lit(rule.name).alias("rule"), "model", "since", "fired_at", "last_tick")
+        found = raised if found is None else found.unionByName(raised)
+    return found

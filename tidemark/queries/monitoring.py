@@ -124,17 +124,31 @@ def prediction_shift(spark, sf):
     return rounded(mo.prediction_shift(log, 0.1, 0.01, WINDOW, STEP, floor=0.001), 12, total=6)
 
 
-ALERT = """
-  , m AS (SELECT model, tick, abs(total / n - 0.1) > 0.01 AS cond FROM s),
-  g AS (SELECT *, lag(cond, 1, false) OVER w AS was, tick - lag(tick) OVER w AS gap FROM m
-        WINDOW w AS (PARTITION BY model ORDER BY tick)),
-  f AS (SELECT *, CASE WHEN cond AND (NOT was OR gap IS NULL OR gap <> INTERVAL 1 HOUR) THEN tick END AS first FROM g),
-  z AS (SELECT model, tick, cond, CASE WHEN cond THEN max(first) OVER (PARTITION BY model ORDER BY tick) END AS since
-        FROM f),
-  states AS (SELECT model, tick, since, CASE WHEN NOT cond THEN 'inactive'
-             WHEN tick - since >= INTERVAL 3 HOUR THEN 'firing' ELSE 'pending' END AS state FROM z)
-"""
-STATES = f"{L} {TICKS}, s AS (SELECT model, tick, count(*) AS n, sum(prediction) AS total FROM t GROUP BY ALL)"
+def _states_sql(ticks, hours):
+    """Alert states of a table of (model, tick, cond)."""
+    return f"""
+      (WITH m AS ({ticks}),
+       g AS (SELECT *, lag(cond, 1, false) OVER w AS was, tick - lag(tick) OVER w AS gap FROM m
+             WINDOW w AS (PARTITION BY model ORDER BY tick)),
+       f AS (SELECT *, CASE WHEN cond AND (NOT was OR gap IS NULL OR gap <> INTERVAL 1 HOUR) THEN tick END AS first
+             FROM g),
+       z AS (SELECT model, tick, cond,
+                    CASE WHEN cond THEN max(first) OVER (PARTITION BY model ORDER BY tick) END AS since FROM f)
+       SELECT model, tick, since, CASE WHEN NOT cond THEN 'inactive'
+              WHEN tick - since >= INTERVAL {hours} HOUR THEN 'firing' ELSE 'pending' END AS state FROM z)
+    """
+
+
+def _alerts_sql(rule, states):
+    return f"""
+      SELECT {rule} model, since, min(tick) FILTER (WHERE state = 'firing') AS fired_at, max(tick) AS last_tick
+      FROM {states} WHERE state <> 'inactive' GROUP BY model, since
+      HAVING count(*) FILTER (WHERE state = 'firing') > 0
+    """
+
+
+SHIFTED = "SELECT model, tick, abs(sum(prediction) / count(*) - 0.1) > 0.01 AS cond FROM t GROUP BY model, tick"
+STATES = f"{L} {TICKS} SELECT * FROM {_states_sql(SHIFTED, 3)}"
 
 
 def _shift_ticks(spark, sf):
@@ -142,26 +156,50 @@ def _shift_ticks(spark, sf):
     return mo.prediction_shift(log, 0.1, 0.01, WINDOW, STEP, floor=0.0)
 
 
-@query("alert_states", STATES + ALERT + " SELECT * FROM states")
+@query("alert_states", STATES)
 def alert_states(spark, sf):
     return mo.alert_states(_shift_ticks(spark, sf), ["model"], F.col("shifted"), timedelta(hours=3), STEP)
 
 
-@query(
-    "alert_for",
-    STATES
-    + ALERT
-    + """
-    SELECT model, since, min(tick) FILTER (WHERE state = 'firing') AS fired_at, max(tick) AS last_tick
-    FROM states WHERE state <> 'inactive' GROUP BY model, since
-    HAVING count(*) FILTER (WHERE state = 'firing') > 0
-    """,
-)
+@query("alert_for", f"{L} {TICKS} " + _alerts_sql("", _states_sql(SHIFTED, 3)))
 def alert_for(spark, sf):
     states = mo.alert_states(_shift_ticks(spark, sf), ["model"], F.col("shifted"), timedelta(hours=3), STEP)
     return mo.alerts(states, ["model"])
 
 
+RULES = (
+    mo.AlertRule("errors", "error_ratio", True, 0.22, timedelta(hours=3)),
+    mo.AlertRule("slow", "p95", True, 2.0, timedelta(hours=4)),
+    mo.AlertRule("traffic", "qps", False, 0.001, timedelta(hours=2)),
+    mo.AlertRule("shift", "shift", True, 0.02, timedelta(hours=5)),
+)
+RULE_TICKS = {
+    "errors": (
+        "SELECT '*' AS model, tick, (count(*) FILTER (WHERE status = 'error') / 21600) "
+        "/ greatest(count(*) / 21600, 0.0001) > 0.22 AS cond FROM t GROUP BY tick", 3,
+    ),
+    "slow": (
+        f"SELECT model, tick, {_quantile_sql(0.95)} > 2.0 AS cond FROM (SELECT model, tick, count(*) AS n, "
+        + ", ".join(f"count(*) FILTER (WHERE latency_s <= {b}::DOUBLE) AS le_{i}" for i, b in enumerate(mo.LATENCY_BOUNDS))
+        + " FROM t GROUP BY model, tick)", 4,
+    ),
+    "traffic": ("SELECT model, tick, count(*) / 21600 < 0.001 AS cond FROM t GROUP BY model, tick", 2),
+    "shift": (SHIFTED.replace("0.01", "0.02"), 5),
+}
+
+
+@query(
+    "alert_report",
+    f"{L} {TICKS} "
+    + " UNION ALL ".join(
+        _alerts_sql(f"'{name}' AS rule,", _states_sql(ticks, hours)) for name, (ticks, hours) in RULE_TICKS.items()
+    ),
+)
+def alert_report(spark, sf):
+    """Error ratio, latency, traffic and prediction rules over one log."""
+    return mo.alert_report(inference_log(spark, sf), RULES, WINDOW, STEP, WINDOW, 0.0001, 0.1)
+
+
 @query(
     "health_rollup",
     """
@@ -215,7 +253,7 @@ def stream_dedup(spark, sf):
     return jobs.run_to_table(jobs.drop_copies(twice, ["event_id"]).drop("copy"), "dedup")
 
 
-@query("stream_alerts", STATES + ALERT + " SELECT * FROM states")
+@query("stream_alerts", STATES)
 def stream_alerts(spark, sf):
     """The alert states again, from a stream over the written evaluation ticks."""
     ticks = _shift_ticks(spark, sf)
