@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tidemark.contract import Contract
 from tidemark.operators import runs as rn
 from tidemark.operators import splits as sp
 
@@ -71,4 +72,5 @@ def test_splits_are_stable_and_exact(spark):
     weights = {r["y"]: r["weight"] for r in sp.class_weights(df, "y").collect()}
     assert weights == {0: 1000 / 1800, 1: 1000 / 200}
     assert set(r["fold"] for r in sp.kfold(df, ["id"]).select("fold").distinct().collect()) == set(range(5))
+    assert sp.temporal_split(df.limit(0), 0.2, contract=Contract(("y",), "id")).isEmpty()
     assert sp.with_class_weights(df, "y").count() == 1000 and sp.resample(df, "y", {1: 1.0}).count() == 100

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import Contract
 from tidemark.functions.exprs import equal_width_bin
 from tidemark.plans.distribution import exact_quantiles, long_values
+from tidemark.plans.joins import join_small
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -65,7 +66,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def class_histogram(df: DataFrame, column: str, by: str, bins: int = 15) -> DataFrame:
     """Histogram per class; each class has its own range, as when plotted one by one."""
     ranges = df.groupBy(by).agg(F.min(column).alias("__low"), F.max(column).alias("__high"))
-    placed = df.select(by, column).join(ranges, by)
+    placed = join_small(df.select(by, column), ranges, [by], "inner")
     place = equal_width_bin(F.col(column), F.col("__low"), F.col("__high"), bins)
     return placed.where(F.col(column).isNotNull()).groupBy(by, place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 

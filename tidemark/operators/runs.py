@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import equal_width_bin, hash_share, log10_bin, ratio, two_proportion_z
 from tidemark.plans.distribution import exact_quantiles
+from tidemark.plans.joins import join_small
 from tidemark.plans.ordered import running
 
 # Registry alias and canary threshold.
@@ -111,7 +112,7 @@ def median_prune(steps: DataFrame, warmup: int = 5, maximize: bool = True) -> Da
     ``steps`` holds (trial, step, value). Trials that are never worse have NULL.
     """
     medians = exact_quantiles(steps, ["value"], [0.5], ["step"]).select("step", F.col("q0").alias("median"))
-    judged = steps.join(medians, "step", "left")
+    judged = join_small(steps, medians, ["step"])
     worse = F.col("value") < F.col("median") if maximize else F.col("value") > F.col("median")
     stop = F.when(worse & (F.col("step") >= warmup), F.col("step"))
     return judged.groupBy("trial").agg(F.count(F.lit(1)).alias("n_steps"), F.min(stop).alias("pruned_at"))

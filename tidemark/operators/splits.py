@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import Contract
 from tidemark.functions.exprs import hash_bucket, hash_share
+from tidemark.plans.joins import join_small
 from tidemark.plans.ordered import exact_cut, running, up_to_cut
 
 
@@ -25,6 +26,8 @@ def temporal_split(df: DataFrame, test: float, val: float = 0.0, contract: Contr
     is neither sorted nor shuffled.
     """
     n = df.count()
+    if n == 0:
+        return df.withColumn("split", F.lit("train"))
     n_test = max(1, int(n * test))
     n_val = max(1, int(n * val)) if val > 0 else 0
     n_train = max(1, n - n_test - n_val)
@@ -58,12 +61,11 @@ def hash_split(df: DataFrame, key: Sequence[str], test: float, seed: int = 42) -
 def stratified_split(df: DataFrame, label: str, key: Sequence[str], test: float, seed: int = 42) -> DataFrame:
     """Random split with exactly round(n * test) test rows in every stratum of size n."""
     marked = df.withColumn("__share", hash_share(key, seed))
-    one = {"__place": ("sum", F.lit(1))}
-    ranked = running(marked, [label], ["__share", *key], one, sizing=marked.select(label, "__share", *key))
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__size")).withColumnRenamed(label, "__label")
-    joined = ranked.join(sizes, F.col(label).eqNullSafe(F.col("__label")))
+    one, size = {"__place": ("sum", F.lit(1))}, {"__size": F.lit(1)}
+    keys = marked.select(label, "__share", *key)
+    ranked = running(marked, [label], ["__share", *key], one, size, sizing=keys)
     chosen = F.col("__place") <= F.round(F.col("__size") * F.lit(float(test)))
-    return joined.withColumn("split", F.when(chosen, "test").otherwise("train")).select(*df.columns, "split")
+    return ranked.withColumn("split", F.when(chosen, "test").otherwise("train")).select(*df.columns, "split")
 
 
 def kfold(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
@@ -81,7 +83,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
     """Rows with the weight of their class, for weighted training."""
-    return df.join(class_weights(df, label).drop("n_class"), label, "left")
+    return join_small(df, class_weights(df, label).drop("n_class"), [label])
 
 
 def resample(df: DataFrame, label: str, fractions: dict, seed: int = 42) -> DataFrame:

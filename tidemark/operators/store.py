@@ -151,10 +151,11 @@ def latest_rows(
     Aggregates before the shuffle, one row per entity and task. With a unique (entity, time) every
     column keeps its own hash-aggregated maximum; tie columns need the whole row compared.
     """
+    kind = df.schema[contract.time].dataType  # bounds of the column's own type reach the file scan
     if start is not None:
-        df = df.where(F.col(contract.time) >= F.lit(start))
+        df = df.where(F.col(contract.time) >= F.lit(start).cast(kind))
     if end is not None:
-        df = df.where(F.col(contract.time) <= F.lit(end))
+        df = df.where(F.col(contract.time) <= F.lit(end).cast(kind))
     grouped = df.groupBy(*contract.entity)
     if not contract.tie:
         newest = [F.max_by(f, contract.time).alias(f) for f in features]

@@ -42,8 +42,10 @@ def compare(spark, con, name, sf, got=None):
     """None when equal, else what differs."""
     got = catalog.QUERIES[name](spark, sf) if got is None else got
     mine = rows_of(got.columns, [tuple(r) for r in got.collect()])
+    if not mine[1]:
+        return "no rows"
     if name not in catalog.SQL:
-        return None if mine[1] else "no rows"
+        return None
     cur = con.execute(catalog.SQL[name])
     names, types = [d[0] for d in cur.description], [str(d[1]) for d in cur.description]
     theirs = rows_of(names, cur.fetchall())
