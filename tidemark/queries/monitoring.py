@@ -184,7 +184,10 @@ RULE_TICKS = {
         + " FROM t GROUP BY model, tick)", 4,
     ),
     "traffic": ("SELECT model, tick, count(*) / 21600 < 0.001 AS cond FROM t GROUP BY model, tick", 2),
-    "shift": (SHIFTED.replace("0.01", "0.02"), 5),
+    "shift": (
+        "SELECT model, tick, abs((sum(prediction) / 21600) / greatest(count(*) / 21600, 0.0001) - 0.1) > 0.02 AS cond "
+        "FROM t GROUP BY model, tick", 5,
+    ),
 }
 
 
