@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, mixing, quality, sharding, simhash
+from tidemark.llm import decontam, html_text, mixing, quality, sharding, simhash, urls, vectors
 from tidemark.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,42 @@ def op8(spark, sf):
 @query("op9_quality_waves")
 def op9(spark, sf):
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op1_tag_path_text")
+def op1(spark, sf):
+    return html_text.with_main_text(table(spark, sf, "pages"))
+
+
+@query("op4_cover_tree_links", """
+  WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+  u AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS size FROM e),
+  p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.93),
+  r AS (WITH RECURSIVE reach(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM reach r JOIN p ON r.b = p.a)
+        SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+  n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+  SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, coalesce(r.component_id, e.vec_id) AS component_id,
+         coalesce(r.component_id, e.vec_id) = e.vec_id AS kept
+  FROM e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN r ON e.vec_id = r.a
+""")
+def op4(spark, sf):
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op6_redirect_verdicts", r"""
+  WITH h AS (SELECT page_id,
+                    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+  r(rule, name, start, rule_verdict) AS (VALUES ('net/', 'net', '/', 'block'),
+       ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'),
+       ('org/fr/', 'org', '/fr/', 'allow')),
+  f AS (SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule,
+               arg_max(rule_verdict, length(rule)) AS rule_verdict
+        FROM h LEFT JOIN r ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
+        GROUP BY page_id, host, path)
+  SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM f
+""")
+def op6(spark, sf):
+    return urls.verdicts(table(spark, sf, "pages"))
