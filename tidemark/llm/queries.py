@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, html_text, mixing, quality, sharding, simhash, urls, vectors
+from tidemark.llm import decontam, html_text, mixing, quality, repeats, sharding, simhash, urls, vectors, warc
 from tidemark.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,26 @@ def op4(spark, sf):
 """)
 def op6(spark, sf):
     return urls.verdicts(table(spark, sf, "pages"))
+
+
+@query("op2_warc_index", """
+  WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+  d AS (SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS sha,
+               min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+  h AS (SELECT *, list_transform(range(0, 8),
+                 lambda i: ('0x' || substr(sha, (1 + 5 * i)::INT, 5))::BIGINT) AS parts FROM d)
+  SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+         array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+           lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + ((v >> s) & 31))::INT, 1)), '')), '') AS payload_digest,
+         CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+         CASE WHEN page_id <> first THEN first END AS refers_to
+  FROM h
+""")
+def op2(spark, sf):
+    made = warc.archive_round_trip(table(spark, sf, "pages"))
+    return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_suffix_repeats")
+def op10(spark, sf):
+    return repeats.remove_repeats(table(spark, sf, "documents"))
