@@ -81,7 +81,10 @@ def mix(
     sized = docs.select(
         *keep, F.col(id_col).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
     )
-    sized = written(sized, "sized")
+    # kept columns wait aside: in order of size they would pile up where the long texts are
+    sized = written(sized.withColumn("__row", F.monotonically_increasing_id()), "sized")
+    aside = sized.select("__row", *keep)
+    sized = sized.select("__row", "doc_id", "source", "size")
     order = ["source", "size", "doc_id"]
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = sized.repartitionByRange(shuffles, *order).sortWithinPartitions(*order)
@@ -100,10 +103,11 @@ def mix(
     rank = F.col("__at") - F.col("__first") + F.col("__before")
     upto = lambda k: F.floor(k * F.col("copies") + F.col("__offset"))
     rows = rows.withColumn("times", (upto(rank + 1) - upto(rank)).cast("long"))
-    return rows.select(
-        *keep, "doc_id", "source", "size", "source_size", "target", "times",
+    rows = rows.select(
+        "__row", "doc_id", "source", "size", "source_size", "target", "times",
         (F.col("size") * F.col("times")).alias("taken"),
     )
+    return (rows.join(aside, "__row") if keep else rows).drop("__row")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
