@@ -226,7 +226,9 @@ def lookup(spark: SparkSession, keys: DataFrame, directory: DataFrame, folder: s
 
     asked = keys.select("key").where("key is not null").distinct()
     asked = asked.mapInArrow(find, "key string, file string, start bigint, size bigint")
-    asked = asked.repartition("file", "start").sortWithinPartitions("file", "start", "key")
+    # a row here stands for a block to read, so the number of tasks must not follow the bytes of these rows
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = asked.repartition(tasks, "file", "start").sortWithinPartitions("file", "start", "key")
 
     def read(batches):
         fs = base = handle = None
@@ -271,7 +273,9 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
     """Read the records of ``captures`` back by byte ranges: page_id, url, payload (null for a revisit), payload_bytes,
     payload_digest, record_type, refers_to, all from the records themselves. A payload that does not match its digest
     raises. Ranges that are neighbours in a file are fetched together."""
-    asked = captures.select("file", "start", "size").repartition("file", F.floor(F.col("start") / (READ_BYTES * 4)))
+    tasks = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = F.floor(F.col("start") / READ_BYTES)
+    asked = captures.select("file", "start", "size").repartition(tasks, "file", near)
     asked = asked.sortWithinPartitions("file", "start")
 
     def parse(member: bytes):
