@@ -178,7 +178,10 @@ def near_vectors(
         F.col("__label").alias("label"), "dim", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "many", F.col("__vector").alias("vector"),
     )
-    found = dealt.groupBy("label", "dim", "x", "y").applyInArrow(_compare(cosine), "node bigint, n bigint, other bigint")
+    # work is the square of a chunk, whatever its bytes: spread the pairs over all tasks
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pair = ["label", "dim", "x", "y"]
+    found = dealt.repartition(tasks, *pair).groupBy(*pair).applyInArrow(_compare(cosine), "node bigint, n bigint, other bigint")
     found = written(found, "links")
     counts = found.groupBy("node").agg(F.sum("n").alias("links"))
     groups = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
