@@ -17,8 +17,10 @@ LENGTH = 400
 GRAM = 64
 #: bytes of text sorted at once in a task
 CHUNK_BYTES = 1 << 20
-#: different neighbourhoods of one anchor that one suffix array holds; anchors with more are settled start by start
-ANCHOR_ROWS = 4096
+#: starts of one anchor that one suffix array holds; anchors with more are settled start by start
+ANCHOR_STARTS = 1 << 19
+#: offsets from the anchor that stay together when a heavy anchor is split
+BAND = 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
 POSITION_BITS = np.uint64(20)
 
@@ -37,12 +39,21 @@ def gram_hashes(text: np.ndarray, gram: int) -> np.ndarray:
     return out * MIX
 
 
-def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first, last): every window of ``length`` bytes has one anchor, its least gram, the leftmost of equals; the
-    windows that start at first..last share theirs. Equal windows have the same anchor hash."""
+def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    step = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
+
+
+def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(hash, first, last, at), (known first, known last) of a text.
+
+    Every window of ``length`` bytes has one anchor, its least gram, the leftmost of equals; the windows that start at
+    first..last share the one at ``at``. Equal windows have equal anchor hashes at equal distances. Where a short period
+    repeats an anchor, windows that equal the one a period later are known repeats; that later one stands for them.
+    """
+    none = np.zeros(0, np.int64)
     if len(text) < length:
-        none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none
+        return none.astype(np.uint64), none, none, none, none, none
     hashes = gram_hashes(text, gram)
     wide = length - gram + 1
     starts = len(text) - length + 1
@@ -60,7 +71,28 @@ def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np
     last = np.append(first[1:], starts) - 1
     # the low bits name the place of the gram within the window
     at = first + ((least[first] - first.astype(np.uint64)) & low).astype(np.int64)
-    return hashes[at], first, last
+    codes = hashes[at]
+    periodic = np.flatnonzero((codes[1:] == codes[:-1]) & (at[1:] > at[:-1]))
+    if not len(periodic):
+        return codes, first, last, at, none, none
+    known = np.zeros(starts, bool)
+    stands = np.ones(starts, bool)  # for itself
+    for i in periodic.tolist():
+        step, lo = int(at[i + 1] - at[i]), int(first[i])
+        hi = min(int(last[i]), starts - 1 - step)
+        if hi < lo:
+            continue
+        other = np.flatnonzero(text[lo : hi + length] != text[lo + step : hi + step + length])
+        here = np.arange(hi - lo + 1)
+        following = np.append(other, np.iinfo(np.int64).max)[np.searchsorted(other, here)]
+        equal = lo + here[following - here >= length]
+        known[equal] = known[equal + step] = True
+        stands[equal] = False
+    run = np.repeat(np.arange(len(first)), last - first + 1)
+    new = stands & np.concatenate(([True], ~stands[:-1] | (run[1:] != run[:-1])))
+    end = stands & np.concatenate((~stands[1:] | (run[1:] != run[:-1]), [True]))
+    begin, finish = np.flatnonzero(new), np.flatnonzero(end)
+    return codes[run[begin]], begin, finish, at[run[begin]], *_runs(known)
 
 
 def helper_end(text: np.ndarray, last: int) -> int:
@@ -168,68 +200,90 @@ def repeated_starts(parts: list[tuple[bytes, int, int]], length: int) -> list[np
     return [flags[b : b + starts] for b, (_, starts, _) in zip(base, parts)]
 
 
-def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    step = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
-    return np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
-
-
 def _find_anchors(length: int, gram: int):
     def run(batches):
         for batch in pieces(batches, "t"):
             data, borders = flat(batch.column("t"))
-            codes, firsts, lasts, counts = [], [], [], []
+            columns, counts = [], []
             for a, b in zip(borders[:-1], borders[1:]):
-                code, first, last = anchors_of(data[a:b], length, gram)
-                codes.append(code)
-                firsts.append(first)
-                lasts.append(last)
-                counts.append(len(code))
-            nth = np.repeat(np.arange(len(counts)), counts)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("key").take(pa.array(nth)), pa.array(np.concatenate(codes).view(np.int64)),
-                pa.array(np.concatenate(firsts).astype(np.int64)), pa.array(np.concatenate(lasts).astype(np.int64)),
-            ], names=["key", "anchor", "first", "last"])
+                code, first, last, at, lo, hi = anchors_of(data[a:b], length, gram)
+                known = np.arange(len(code) + len(lo)) >= len(code)
+                zero = np.zeros(len(lo), np.int64)
+                columns.append((np.append(code.view(np.int64), zero), np.append(first, lo), np.append(last, hi),
+                                np.append(at, zero), known))
+                counts.append(len(known))
+            code, first, last, at, known = (np.concatenate(c) for c in zip(*columns))
+            nth = pa.array(np.repeat(np.arange(len(counts)), counts))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(nth), *map(pa.array, (code, first, last, at, known))],
+                names=["key", "anchor", "first", "last", "at", "known"])
 
     return run
 
 
+def _piece(text: np.ndarray, first: int, last: int, at: int, length: int) -> tuple:
+    """(starts, helper, at, same, piece) of the windows that start at first..last."""
+    helper = helper_end(text, last)
+    piece = text[first : helper + length].tobytes()
+    # equal windows in equal order at equal distance from the anchor: the bytes that the starts cover
+    same = xxhash.xxh128_digest(piece[: last - first + length] + (at - first).to_bytes(8, "little"))
+    return last - first + 1, helper - first, at - first, same, piece
+
+
+PIECE = "starts int, helper int, at int, same binary, piece binary"
+PIECE_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+
+def _batches_of(rows, names: list[str], kinds: list[pa.DataType]):
+    """Record batches of a few megabytes from rows whose last value is a piece."""
+    held, weight = [], 0
+    for row in rows:
+        held.append(row)
+        weight += len(row[-1])
+        if weight > 4 * CHUNK_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+            held, weight = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+
+
 def _cut(length: int):
     """Rows with the text around each anchor: the windows' bytes and up to the helper suffix with as many again."""
 
-    def run(batches):
+    def rows(batches):
         for batch in pieces(batches, "t"):
             data, borders = flat(batch.column("t"))
-            made = {c: [] for c in ("key", "anchor", "first", "starts", "helper", "same", "piece")}
-            keys = batch.column("key")
-            wanted = batch.column("anchors").to_pylist()
-            held = 0
-            for i, (a, b) in enumerate(zip(borders[:-1], borders[1:])):
-                text = data[a:b]
-                key = keys[i].as_py()
-                for one in wanted[i]:
-                    first, last = one["first"], one["last"]
-                    helper = helper_end(text, last)
-                    piece = text[first : helper + length].tobytes()
-                    made["key"].append(key)
-                    made["anchor"].append(one["anchor"])
-                    made["first"].append(first)
-                    made["starts"].append(last - first + 1)
-                    made["helper"].append(helper - first)
-                    # equal windows in equal order: the bytes that the starts cover
-                    made["same"].append(xxhash.xxh128_digest(piece[: last - first + length]))
-                    made["piece"].append(piece)
-                    held += len(piece)
-                if held > CHUNK_BYTES * 4 or i == len(borders) - 2:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(made["key"], pa.binary()), pa.array(made["anchor"], pa.int64()),
-                        pa.array(made["first"], pa.int64()), pa.array(made["starts"], pa.int32()),
-                        pa.array(made["helper"], pa.int32()), pa.array(made["same"], pa.binary()),
-                        pa.array(made["piece"], pa.binary()),
-                    ], names=list(made))
-                    made = {c: [] for c in made}
-                    held = 0
+            for key, wanted, a, b in zip(
+                batch.column("key").to_pylist(), batch.column("anchors").to_pylist(), borders[:-1], borders[1:]
+            ):
+                for one in wanted:
+                    made = _piece(data[a:b], one["first"], one["last"], one["at"], length)
+                    yield key, one["anchor"], one["first"], *made
 
-    return run
+    names = ["key", "anchor", "first", "starts", "helper", "at", "same", "piece"]
+    return lambda batches: _batches_of(rows(batches), names, [pa.binary(), pa.int64(), pa.int64(), *PIECE_TYPES])
+
+
+def _bands(length: int):
+    """Each piece in parts of at most BAND distances from the anchor, under names of their own."""
+
+    def rows(batches):
+        for batch in batches:
+            for anchor, same, starts, at, piece in zip(
+                *(batch.column(c).to_pylist() for c in ("anchor", "same", "starts", "at", "piece"))
+            ):
+                text = np.frombuffer(piece, np.uint8)
+                lo = 0
+                while lo < starts:
+                    band = (at - lo) // BAND
+                    hi = min(starts - 1, at - band * BAND)
+                    name = xxhash.xxh64_intdigest(f"{anchor} {band}") - (1 << 63)
+                    yield anchor, same, lo, name, *_piece(text, lo, hi, at, length)
+                    lo = hi + 1
+
+    names = ["anchor0", "same0", "lo0", "anchor", "starts", "helper", "at", "same", "piece"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), *PIECE_TYPES]
+    return lambda batches: _batches_of(rows(batches), names, kinds)
 
 
 def _sort(length: int):
@@ -305,6 +359,41 @@ def _remaining(length: int):
     return run
 
 
+def settled(cut: DataFrame, place: list[str], length: int, split: bool = True) -> DataFrame:
+    """(anchor, same, lo, hi): runs of repeated starts in the pieces of ``cut``, numbered within the piece; hi is -1 for
+    all starts. ``place`` names a piece's origin. Equal pieces repeat as a whole, and one of them goes on."""
+    alike = written(cut.groupBy("anchor", "same").agg(
+        F.count_distinct(*place).alias("n"), F.min(F.struct(*place)).alias("from"), F.min("starts").alias("starts")
+    ), "alike")
+    whole = alike.where("n > 1").select(
+        "anchor", "same", F.lit(0).cast("long").alias("lo"), F.lit(-1).cast("long").alias("hi")
+    )
+    weight = alike.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("starts").alias("weight"))
+    ones = alike.join(weight.where("kinds > 1"), "anchor").select("anchor", "same", "from.*", "weight")
+    ones = cut.join(ones, ["anchor", "same", *place]).dropDuplicates(["anchor", "same"])
+    ones = written(ones.select("anchor", "same", "starts", "helper", "at", "piece", "weight"), "kinds")
+    light = ones.where(F.col("weight") <= ANCHOR_STARTS).drop("weight", "at")
+    light = light.repartition("anchor").sortWithinPartitions("anchor", "same")
+    runs = light.mapInArrow(_sort(length), "anchor bigint, same binary, lo bigint, hi bigint")
+    heavy = ones.where(F.col("weight") > ANCHOR_STARTS)
+    if split:
+        bands = written(heavy.select("anchor", "same", "starts", "at", "piece").mapInArrow(
+            _bands(length), f"anchor0 bigint, same0 binary, lo0 bigint, anchor bigint, {PIECE}"
+        ), "bands")
+        inner = settled(bands, ["anchor0", "same0", "lo0"], length, split=False)
+        more = bands.select("anchor0", "same0", "lo0", "anchor", "same", "starts").join(inner, ["anchor", "same"])
+        end = F.when(F.col("hi") < 0, F.col("starts") - 1).otherwise(F.col("hi"))
+        more = more.select(F.col("anchor0").alias("anchor"), F.col("same0").alias("same"),
+                           (F.col("lo0") + F.col("lo")).alias("lo"), (F.col("lo0") + end).alias("hi"))
+    else:
+        each = heavy.select("anchor", "same", "starts", "piece").mapInArrow(
+            _windows(length), "anchor bigint, same binary, lo bigint, window binary"
+        )
+        often = each.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+        more = each.join(often, "window").select("anchor", "same", "lo", F.col("lo").alias("hi"))
+    return runs.union(more).union(whole)
+
+
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -315,11 +404,13 @@ def remove_repeats(
     1. Texts are named by their digest. A text that stands in several rows goes whole (if it has ``length`` bytes); one
        copy stands for all in what follows.
     2. Every window of ``length`` bytes belongs to one anchor, its least gram by hash, so equal windows belong to equal
-       anchors. Anchors that occur once, about all in clean text, end here: 28 bytes a row, one row per about 170 bytes.
+       anchors. Anchors that occur once, about all in clean text, end here: 36 bytes a row, one row per about 170 bytes.
+       In a stretch with a short period, windows that equal the one a period on are settled at once.
     3. The neighbourhoods of the other anchors are cut out of the texts. Equal neighbourhoods are repeats as a whole and
        one of them goes on, so a passage that a third of all texts share is one row, apart from its borders.
     4. Tasks take whole anchors, sort the suffixes of their neighbourhoods in two stages and compare neighbours. An
-       anchor with more than ANCHOR_ROWS different neighbourhoods is settled start by start, by counts of window hashes.
+       anchor with more than ANCHOR_STARTS starts is split by distance from the anchor, which equal windows share; a
+       part that is still heavier is settled by counts of the hashes of its windows.
     5. Starts found go back to all equal neighbourhoods, and by text to the bytes they cover.
 
     Null and empty texts have 0 bytes and nothing to remove. Rows with a null or repeated id are rows like any other.
@@ -334,50 +425,37 @@ def remove_repeats(
     copies = long_heads.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
 
     long_rows = rows.where(F.octet_length("t") >= length)
-    found = long_rows.select("key", "t").mapInArrow(
-        _find_anchors(length, gram), "key binary, anchor bigint, first bigint, last bigint"
-    )
-    found = written(found, "anchors")
+    found = written(long_rows.select("key", "t").mapInArrow(
+        _find_anchors(length, gram),
+        "key binary, anchor bigint, first bigint, last bigint, at bigint, known boolean",
+    ), "anchors")
     place = F.xxhash64("key", "first")
-    twice = found.groupBy("anchor").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("anchor")
-    shared = found.join(twice, "anchor").groupBy("key").agg(
-        F.collect_set(F.struct("anchor", "first", "last")).alias("anchors")
-    )
+    open_anchors = found.where("not known")
+    twice = open_anchors.groupBy("anchor").agg(F.min(place).alias("p"), F.max(place).alias("q"))
+    shared = open_anchors.join(twice.where("p <> q").select("anchor"), "anchor")
+    shared = shared.withColumn("one", F.struct("anchor", "first", "last", "at"))
+    shared = shared.select("key", "one", F.lit(None).cast("struct<first:bigint,last:bigint>").alias("known"))
+    shared = shared.union(found.where("known").select(
+        "key", F.lit(None).cast(shared.schema["one"].dataType), F.struct("first", "last")
+    ))
+    shared = shared.groupBy("key").agg(F.collect_set("one").alias("anchors"), F.collect_set("known").alias("known"))
     shared = written(shared.join(copies.select("key", "one"), "key"), "shared")
 
     source = long_rows.withColumnRenamed("key", "k")
     same_row = (source["k"] == shared["key"]) & source["doc_id"].eqNullSafe(shared["one"])
-    texts = written(source.join(shared, same_row).select("key", "anchors", "t"), "texts")
-    cut = written(texts.mapInArrow(
-        _cut(length), "key binary, anchor bigint, first bigint, starts int, helper int, same binary, piece binary"
+    texts = source.join(shared, same_row).select("key", "anchors", "known", "t")
+    texts = written(texts, "texts")
+    cut = written(texts.select("key", "anchors", "t").mapInArrow(
+        _cut(length), f"key binary, anchor bigint, first bigint, {PIECE}"
     ), "pieces")
-
-    alike = cut.groupBy("anchor", "same").agg(
-        F.count_distinct("key", "first").alias("n"), F.min(F.struct("key", "first")).alias("at")
-    )
-    alike = written(alike, "alike")
-    per_anchor = alike.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_kinds = alike.join(per_anchor, "anchor").select(
-        "anchor", "same", F.col("at.key").alias("key"), F.col("at.first").alias("first"), "kinds"
-    )
-    reps = written(cut.join(open_kinds, ["anchor", "same", "key", "first"]).dropDuplicates(["anchor", "same"]), "reps")
-    few = reps.where(F.col("kinds") <= ANCHOR_ROWS).select("anchor", "same", "starts", "helper", "piece")
-    few = few.repartition("anchor").sortWithinPartitions("anchor", "same")
-    sorted_runs = few.mapInArrow(_sort(length), "anchor bigint, same binary, lo bigint, hi bigint")
-    many = reps.where(F.col("kinds") > ANCHOR_ROWS).select("anchor", "same", "starts", "piece")
-    many = many.mapInArrow(_windows(length), "anchor bigint, same binary, lo bigint, window binary")
-    counted = many.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    counted = many.join(counted, "window").select("anchor", "same", "lo", F.col("lo").alias("hi"))
-    runs = sorted_runs.union(counted)
-    runs = runs.union(alike.where("n > 1").select(
-        "anchor", "same", F.lit(0).cast("long").alias("lo"), F.lit(-1).cast("long").alias("hi")
-    ))
-    runs = written(runs, "runs")
+    runs = written(settled(cut, ["key", "first"], length), "runs")
     spans = cut.select("key", "anchor", "same", "first", "starts").distinct().join(runs, ["anchor", "same"])
     last = F.when(F.col("hi") < 0, F.col("starts") - 1).otherwise(F.col("hi"))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct(
         (F.col("first") + F.col("lo")).alias("first"), (F.col("first") + last).alias("last"))).alias("spans"))
-    done = texts.select("key", "t").join(spans, "key").mapInArrow(
+    done = texts.select("key", "t", "known").join(spans, "key", "left")
+    done = done.withColumn("spans", F.concat("known", F.coalesce("spans", F.array().cast(done.schema["known"].dataType))))
+    done = done.select("key", "t", "spans").mapInArrow(
         _remaining(length), "key binary, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
     done = written(done.dropDuplicates(["key"]), "removed")
