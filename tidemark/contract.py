@@ -9,7 +9,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Column names and stored types that callers of the original system rely on.
+# Column names and stored types.
 ENTITY = "machine_id"
 TIME = "event_timestamp"
 READINGS = ("temperature", "vibration", "current")

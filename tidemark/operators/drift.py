@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import LABEL, Contract
 from tidemark.functions.exprs import equal_width_bin, ks_p_value, ratio, two_proportion_z
@@ -25,12 +26,18 @@ OVERLAY_BINS = 25
 
 def monitored_columns(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, contract: Contract = Contract(),
-    label: str | None = LABEL,
+    label: str | None = LABEL, numeric: bool | None = None,
 ) -> list[str]:
-    """The given columns, or those both sides share, without keys, time and label."""
+    """The given columns, or those both sides share, without keys, time and label.
+
+    With ``numeric`` only number columns (for distances such as K-S), or only the others (for `category_drift`).
+    """
     if columns is None:
         skip = {*contract.key, *contract.tie, label}
         columns = [c for c in reference.columns if c in current.columns and c not in skip]
+    if numeric is not None:
+        is_number = lambda c: isinstance(reference.schema[c].dataType, T.NumericType)
+        columns = [c for c in columns if is_number(c) == numeric]
     if not columns:
         raise ValueError("reference and current share no columns to compare")
     return list(columns)

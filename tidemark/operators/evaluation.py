@@ -196,9 +196,10 @@ def quality_gate(metrics: DataFrame, metric: str = DEFAULT_GATE[0], threshold: f
 
 
 def calibration_bins(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
-    """Mean score and observed rate per equal-width score bin."""
+    """Mean score and observed rate per equal-width score bin; rows without a score or label are in none."""
     place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int").alias("bin")
-    return df.groupBy(place).agg(
+    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
+    return known.groupBy(place).agg(
         F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"), F.avg(label).alias("observed_rate")
     )
 

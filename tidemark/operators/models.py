@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
@@ -40,11 +40,13 @@ def tree_classifier(features: Sequence[str] = READINGS, label: str = LABEL, para
 
 
 def logistic_classifier(features: Sequence[str], label: str, params: Mapping | None = None) -> Pipeline:
-    """Multinomial logistic regression on standardised features."""
-    assemble = VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="keep")
+    """Multinomial logistic regression on standardised features; missing readings take the column's mean."""
+    filled = [f"__filled_{c}" for c in features]
+    fill = Imputer(inputCols=list(features), outputCols=filled)
+    assemble = VectorAssembler(inputCols=filled, outputCol="__raw", handleInvalid="keep")
     scale = StandardScaler(inputCol="__raw", outputCol="features", withMean=True)
     fit = LogisticRegression(labelCol=label, family="multinomial", **{"maxIter": 200, **(params or {})})
-    return Pipeline(stages=[assemble, scale, fit])
+    return Pipeline(stages=[fill, assemble, scale, fit])
 
 
 ESTIMATORS: dict[str, Callable[..., Pipeline]] = {"trees": tree_classifier, "logistic": logistic_classifier}

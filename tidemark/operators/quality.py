@@ -37,12 +37,14 @@ class Rule:
 
 
 def not_null(column: str, max_share: float = 0.0) -> Rule:
-    return Rule("not_null", column, F.col(column).isNull(), max_share)
+    """NaN is missing as NULL is."""
+    number = F.col(column).cast("string").try_cast("double")
+    return Rule("not_null", column, F.col(column).isNull() | F.coalesce(F.isnan(number), F.lit(False)), max_share)
 
 
 def in_range(column: str, low: float | None, high: float | None) -> Rule:
-    """Inclusive bounds. Text that is no number counts as missing, not as out of range."""
-    x = F.col(column).try_cast("double")
+    """Inclusive bounds. NaN, and text that is no number, count as missing, not as out of range."""
+    x = F.nanvl(F.col(column).try_cast("double"), F.lit(None).cast("double"))
     outside = F.lit(False)
     if low is not None:
         outside = outside | (x < low)
@@ -52,8 +54,13 @@ def in_range(column: str, low: float | None, high: float | None) -> Rule:
 
 
 def in_set(column: str, allowed: Sequence) -> Rule:
-    """NULL is not a violation."""
-    return Rule("in_set", column, F.coalesce(~F.col(column).isin(list(allowed)), F.lit(False)))
+    """NULL is not a violation; a value that cannot be compared with the allowed ones is."""
+    if all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in allowed):
+        number = F.col(column).cast("string").try_cast("double")
+        inside = F.coalesce(number.isin([float(v) for v in allowed]), F.lit(False))
+    else:
+        inside = F.col(column).cast("string").isin([str(v) for v in allowed])
+    return Rule("in_set", column, F.col(column).isNotNull() & ~inside)
 
 
 def positive(column: str) -> Rule:
@@ -240,7 +247,7 @@ def densify_hourly(df: DataFrame, value: str, contract: Contract = Contract()) -
 def downsample(
     df: DataFrame, value: str, width: str = "1 hour", contract: Contract = Contract(), watermark: str | None = None
 ) -> DataFrame:
-    """Per entity and time bucket: count, mean, min, max and last reading. Works on streams too."""
+    """Per entity and time bucket: count, mean, min, max and last reading (ties decide equal times). Works on streams too."""
     kind = df.schema[contract.time].dataType
     if watermark:
         df = watermarked(df, contract.time, watermark)
@@ -249,7 +256,7 @@ def downsample(
         F.avg(value).alias("mean_value"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
-        F.max_by(value, contract.time).alias("last_value"),
+        F.max_by(value, F.struct(*contract.order)).alias("last_value"),
     )
     measures = ["n", "mean_value", "min_value", "max_value", "last_value"]
     return grouped.select(*contract.entity, F.col("__w.start").cast(kind).alias("bucket"), *measures)

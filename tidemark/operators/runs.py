@@ -38,18 +38,18 @@ def run_columns(runs: DataFrame, params: Sequence[str], metrics: Sequence[str])
 
 
 def with_children(parents: DataFrame, children: DataFrame, metric: str, maximize: bool = True) -> DataFrame:
-    """Parents with their number of children and the best child by the metric.
+    """Parents with their number of children and the best child by the metric, the smallest run_id among equals.
 
-    Children are reduced to one row per parent before the join.
+    Children without the metric (NULL or NaN) count but are never best. Children are reduced to one row per parent
+    before the join.
     """
-    value = F.try_element_at("metrics", F.lit(metric)).cast("double")
-    best = F.max_by if maximize else F.min_by
-    tie = -F.col("run_id") if dict(children.dtypes)["run_id"] in ("bigint", "int") else F.col("run_id")
-    rank = F.struct(value, tie if maximize else F.col("run_id"))
-    top = children.groupBy("parent_id").agg(
-        F.count(F.lit(1)).alias("n_children"),
-        best(value, rank).alias(f"best_{metric}"),
-        best("run_id", rank).alias("best_run_id"),
+    value = F.nanvl(F.try_element_at("metrics", F.lit(metric)).cast("double"), F.lit(None).cast("double"))
+    rank = F.when(value.isNotNull(), F.struct((-value if maximize else value).alias("__rank"), F.col("run_id").alias("run_id")))
+    top = children.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n_children"), F.min(rank).alias("__top"))
+    found = F.col("__top.__rank")
+    top = top.select(
+        "parent_id", "n_children", (-found if maximize else found).alias(f"best_{metric}"),
+        F.col("__top.run_id").alias("best_run_id"),
     )
     joined = parents.join(top.withColumnRenamed("parent_id", "run_id"), "run_id", "left")
     return joined.withColumn("n_children", F.coalesce("n_children", F.lit(0)))
@@ -78,14 +78,13 @@ def param_importance(trials: DataFrame, params: dict[str, Column], value: str =
         F.count(F.lit(1)).alias("n"), F.avg("__v").alias("m"), F.var_pop("__v").alias("var")
     )
     n, m = F.col("n"), F.col("m")
-    sums = groups.groupBy("param").agg(
-        F.sum("n").alias("n"),
-        (F.sum(n * m) / F.sum("n")).alias("grand"),
+    grand = groups.groupBy("param").agg((F.sum(n * m) / F.sum("n")).alias("grand"))
+    # distances from the grand mean, not a difference of squares, which would cancel
+    sums = groups.join(grand, "param").groupBy("param").agg(
+        F.sum(n * (m - F.col("grand")) * (m - F.col("grand"))).alias("between"),
         F.sum(n * F.col("var")).alias("within"),
-        F.sum(n * m * m).alias("square"),
     )
-    between = F.col("square") - F.col("n") * F.col("grand") * F.col("grand")
-    shares = sums.select("param", ratio(between, between + F.col("within")).alias("explained"))
+    shares = sums.select("param", ratio(F.col("between"), F.col("between") + F.col("within")).alias("explained"))
     total = shares.agg(F.sum("explained")).scalar()
     return shares.withColumn("importance", ratio(F.col("explained"), total))
 

@@ -23,17 +23,18 @@ def temporal_split(df: DataFrame, test: float, val: float = 0.0, contract: Contr
 
     Sizes are max(1, floor(n * share)) for test and val (val only when asked for), the rest is train.
     The two border rows are selected exactly, then each row is compared with them: the table itself
-    is neither sorted nor shuffled.
+    is neither sorted nor shuffled. Rows without a time count nowhere and get no split.
     """
-    n = df.count()
+    known = F.col(contract.time).isNotNull()
+    n = df.where(known).count()
     if n == 0:
-        return df.withColumn("split", F.lit("train"))
+        return df.withColumn("split", F.when(known, "train"))
     n_test = max(1, int(n * test))
     n_val = max(1, int(n * val)) if val > 0 else 0
     n_train = max(1, n - n_test - n_val)
     order = _order(contract)
-    keys = df.select(*order)
-    split = F.when(up_to_cut(df, exact_cut(keys, order, n_train)), "train")
+    keys = df.where(known).select(*order)
+    split = F.when(~known, F.lit(None)).when(up_to_cut(df, exact_cut(keys, order, n_train)), "train")
     if n_val and n_train + n_val < n:
         split = split.when(up_to_cut(df, exact_cut(keys, order, n_train + n_val)), "val")
         return df.withColumn("split", split.otherwise("test"))
@@ -41,8 +42,12 @@ def temporal_split(df: DataFrame, test: float, val: float = 0.0, contract: Contr
 
 
 def reference_current(df: DataFrame, columns: Sequence[str], contract: Contract = Contract()) -> DataFrame:
-    """Add ``side``: the earlier half of the rows by time is reference, the later half current."""
+    """Add ``side``: the earlier half of the rows by time is reference, the later half current.
+
+    Rows without a time are on neither side and drop out.
+    """
     order = _order(contract)
+    df = df.where(F.col(contract.time).isNotNull())
     half = df.count() // 2
     reference = up_to_cut(df, exact_cut(df.select(*order), order, half)) if half else F.lit(False)
     marked = df.withColumn("side", F.when(reference, "reference").otherwise("current"))

@@ -89,6 +89,13 @@ def asof_join(
             first = first.unionByName(other, allowMissingColumns=True)
         return first
 
+    if sign == -1:
+        # the first of several rows at the next time, where the carried row would be the last
+        stacks = [
+            d.groupBy(*by, _TIME, _SIDE).agg(F.min_by(p, F.struct(*tie)).alias(p), *[F.min(t).alias(t) for t in tie])
+            if tie else d
+            for d, p, tie in zip(stacks, packs, ties)
+        ]
     keys_only = [d.select(*by, _TIME) for d in (looked_up, *stacks)]
     slices = find_slices(keys_only[0], by, [_TIME], sizing=stack(keys_only[0], keys_only[1:]))
     if slices is None:
@@ -211,13 +218,10 @@ def leak_audit(joined: DataFrame, feature_time: str = "feature_ts", time: str =
 
 def entity_coverage(spine: DataFrame, features: DataFrame, entity: Sequence[str]) -> DataFrame:
     """Entities only asked for, only stored, or both."""
-    asked, stored = spine.select(*entity).distinct(), features.select(*entity).distinct()
-    parts = [
-        asked.join(stored, list(entity), "left_anti").withColumn("coverage", F.lit("spine_only")),
-        stored.join(asked, list(entity), "left_anti").withColumn("coverage", F.lit("features_only")),
-        asked.join(stored, list(entity), "left_semi").withColumn("coverage", F.lit("both")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    sides = [d.select(*entity, F.lit(i).alias("__side")) for i, d in enumerate((spine, features))]
+    seen = sides[0].unionByName(sides[1]).groupBy(*entity).agg(F.min("__side").alias("low"), F.max("__side").alias("high"))
+    kind = F.when(F.col("low") != F.col("high"), "both").when(F.col("low") == 0, "spine_only").otherwise("features_only")
+    return seen.select(*entity, kind.alias("coverage"))
 
 
 def match_coverage(

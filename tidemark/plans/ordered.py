@@ -291,11 +291,14 @@ def exact_cut(df: DataFrame, order: Sequence[str], position: int) -> list[tuple[
     cut: list[tuple[str, object]] = []
     rest = df
     for i, column in enumerate(order):
-        number = order_number(rest, column)
+        text = isinstance(rest.schema[column].dataType, T.StringType)
+        number = F.col(column) if text else order_number(rest, column)
         column_rest = rest.select(number.alias(_AT), *order[i + 1 :])
         span, total = column_rest, column_rest.count()
         skipped = 0
-        while total > limit:
+        if text and total > limit:
+            span, total, skipped = _text_range(span, position, total, limit)
+        while total > limit and not text:
             low, high = _bracket(span, position - skipped, total)
             inside = span.where(F.col(_AT).between(low, high))
             below, kept = span.agg(F.count_if(F.col(_AT) < low), F.count_if(F.col(_AT).between(low, high))).first()
@@ -305,7 +308,7 @@ def exact_cut(df: DataFrame, order: Sequence[str], position: int) -> list[tuple[
             if low == high:
                 break
         counts = span.groupBy(_AT).agg(F.count(F.lit(1)).alias("__rows"))
-        if total <= limit:  # one task can sort what is left
+        if total <= limit or text:  # one task can sort what is left
             whole = Window.orderBy(_AT).rowsBetween(Window.unboundedPreceding, 0)
             totals = counts.withColumn("__upto", F.sum("__rows").over(whole))
         else:
@@ -319,6 +322,23 @@ def exact_cut(df: DataFrame, order: Sequence[str], position: int) -> list[tuple[
     return cut
 
 
+def _text_range(span: DataFrame, position: int, total: int, limit: int) -> tuple[DataFrame, int, int]:
+    """The rows that share the longest prefix known of the text at ``position``: exact counts, one more character at a
+    time, until ``limit`` rows or a single text is left. A pass brings one count per character to the driver."""
+    skipped, length = 0, 0
+    while total > limit:
+        length += 1
+        head = F.substring(_AT, 1, length)
+        for prefix, rows in sorted(span.groupBy(head).agg(F.count(F.lit(1))).collect(), key=lambda r: r[0].encode()):
+            if position <= skipped + rows:
+                break
+            skipped += rows
+        span, total = span.where(head == prefix), rows
+        if len(prefix) < length:
+            break  # the text itself, alone
+    return span, total, skipped
+
+
 def _bracket(span: DataFrame, position: int, total: int) -> tuple[object, object]:
     share = position / total
     probs = [max(0.0, share - 0.002), min(1.0, share + 0.002)]
@@ -326,9 +346,12 @@ def _bracket(span: DataFrame, position: int, total: int) -> tuple[object, object
 
 
 def up_to_cut(df: DataFrame, cut: list[tuple[str, object]]) -> Column:
-    """True for rows at or before the cut: a plain comparison, no shuffle."""
+    """True for rows at or before the cut: a plain comparison, no shuffle. Columns are compared as they are, with
+    constants of their own type, so a filter on one side reaches the scan."""
     result = F.lit(True)
     for column, value in reversed(cut):
-        number, limit = order_number(df, column), F.lit(value)
-        result = (number < limit) | ((number == limit) & result)
+        kind, c, limit = df.schema[column].dataType, F.col(column), F.lit(value)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            limit = F.timestamp_micros(limit).cast(kind)
+        result = (c < limit) | ((c == limit) & result)
     return result

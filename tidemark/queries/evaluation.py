@@ -115,12 +115,12 @@ def leak_gap(spark, sf):
 
 
 def _classified(spark, sf):
-    guess = argmax(F.slice("embedding", 1, 10))
+    guess = argmax(F.col("embedding"))
     return table(spark, sf, "embeddings").select("vec_id", "label", guess.alias("predicted"))
 
 
 CLASSIFIED = """
-  WITH e AS (SELECT label, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS predicted FROM embeddings),
+  WITH e AS (SELECT label, list_position(embedding, list_max(embedding)) - 1 AS predicted FROM embeddings),
        k AS (SELECT label AS class FROM e UNION SELECT predicted FROM e),
        m AS (SELECT class, (SELECT count(*) FROM e WHERE label = class AND predicted = class) AS tp,
                     (SELECT count(*) FROM e WHERE label <> class AND predicted = class) AS fp,
@@ -157,7 +157,7 @@ def class_report(spark, sf):
 
 @query(
     "confusion_matrix",
-    "WITH e AS (SELECT label, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS predicted "
+    "WITH e AS (SELECT label, list_position(embedding, list_max(embedding)) - 1 AS predicted "
     "FROM embeddings) SELECT label AS actual, "
     + ", ".join(f"count(*) FILTER (WHERE predicted = {k}) AS pred_{k}" for k in range(10))
     + " FROM e GROUP BY label",

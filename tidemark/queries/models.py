@@ -13,7 +13,7 @@ from tidemark.plans.scratch import written
 from tidemark.queries.base import LOG, events, labelled, rounded
 from tidemark.session import table
 
-NAMES = [f"class_{k}" for k in range(10)]
+NAMES = [f"class_{k}" for k in range(64)]
 
 
 def _vectors(spark, sf):
@@ -42,16 +42,16 @@ def defect_decision(spark, sf):
 @query(
     "argmax_softmax",
     """
-    WITH e AS (SELECT vec_id, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS v FROM embeddings),
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
          p AS (SELECT vec_id, list_position(v, list_max(v)) - 1 AS c,
                       list_transform(v, lambda x: exp(x - list_max(v))) AS x FROM e)
     SELECT vec_id, c AS class_id, 'class_' || c AS class_name, 'class_' || i AS name,
            round(x[i + 1] / list_sum(x), 6) AS probability
-    FROM p, (SELECT unnest(range(10)) AS i)
+    FROM p, (SELECT unnest(range(64)) AS i)
     """,
 )
 def argmax_softmax(spark, sf):
-    made = sc.classify(_vectors(spark, sf).select("vec_id", "embedding"), F.slice("embedding", 1, 10), NAMES)
+    made = sc.classify(_vectors(spark, sf).select("vec_id", "embedding"), "embedding", NAMES)
     rows = made.select("vec_id", "class_id", "class_name", F.explode("probabilities").alias("name", "probability"))
     return rounded(rows)
 

@@ -196,8 +196,8 @@ def eligible_models(spark, sf):
 @query(
     "canary_decision",
     """
-    WITH p AS (SELECT 'm' || (user_id % 40) AS target, event_type <> 'error' AS ok FROM events WHERE user_id % 4 <> 0),
-         t AS (SELECT DISTINCT 'm' || (user_id % 40) AS target FROM events),
+    WITH p AS (SELECT 'm' || (user_id % 40) AS target, event_type <> 'error' AS ok FROM events),
+         t AS (SELECT DISTINCT 'm' || (c_custkey % 50) AS target FROM customer),
          r AS (SELECT target, count(*) AS n, avg(ok::INTEGER) AS rate FROM p GROUP BY target)
     SELECT t.target, coalesce(n, 0) AS n_probes, round(coalesce(rate, 0), 6) AS success_rate,
            CASE WHEN coalesce(rate, 0) >= 0.81 THEN 'promote' ELSE 'rollback' END AS decision
@@ -205,12 +205,13 @@ def eligible_models(spark, sf):
     """,
 )
 def canary_decision(spark, sf):
-    """Every fourth target never answered a probe."""
-    target = F.concat(F.lit("m"), (F.col("user_id") % 40).cast("string")).alias("target")
+    """The last ten targets never answered a probe."""
+    name = lambda key, n: F.concat(F.lit("m"), (F.col(key) % n).cast("string")).alias("target")
     log = events(spark, sf)
     status = F.when(F.col("event_type") == "error", "degraded").otherwise("ok").alias("status")
-    probes = log.where(F.col("user_id") % 4 != 0).select(target, status)
-    return rounded(rn.canary_decision(probes, log.select(target), threshold=0.81))
+    probes = log.select(name("user_id", 40), status)
+    targets = table(spark, sf, "customer").select(name("c_custkey", 50))
+    return rounded(rn.canary_decision(probes, targets, threshold=0.81))
 
 
 ARM = f"CASE WHEN {SHARE.format(key='user_id')} < 0.05 THEN 'new' ELSE 'current' END"

@@ -186,8 +186,8 @@ def naive_join_leak_count(spark, sf):
 @query(
     "entity_coverage",
     """
-    WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 100),
-         f AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click' AND value > 150)
+    WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'),
+         f AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click')
     SELECT coalesce(s.user_id, f.user_id) AS user_id,
            CASE WHEN f.user_id IS NULL THEN 'spine_only' WHEN s.user_id IS NULL THEN 'features_only'
                 ELSE 'both' END AS coverage
@@ -195,8 +195,7 @@ def naive_join_leak_count(spark, sf):
     """,
 )
 def entity_coverage(spark, sf):
-    spine = _kind(spark, sf, "purchase").where("value > 100")
-    return st.entity_coverage(spine, _kind(spark, sf, "click").where("value > 150"), ["user_id"])
+    return st.entity_coverage(_kind(spark, sf, "purchase"), _kind(spark, sf, "click"), ["user_id"])
 
 
 @query(

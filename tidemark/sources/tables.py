@@ -28,15 +28,27 @@ LAYERS = ("raw", "interim", "processed")
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The table at the path (CSV with a header by its ending, else Parquet), None when it is absent."""
-    reader = spark.read.schema(schema)
     try:
-        return reader.option("header", True).csv(path) if path.endswith(".csv") else reader.parquet(path)
+        return _read_csv(spark, path, schema) if path.endswith(".csv") else spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Columns by the names in the header, whatever their order; others are ignored, missing ones raise.
+
+    Cells that cannot be cast are NULL. Files whose headers differ from the first one's raise when they are read.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    if missing := [c for c in schema.names if c not in names]:
+        raise ValueError(f"{path} lacks the columns {missing}; present: {names}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    rows = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _data(config: Mapping | None) -> Mapping:
     config = config or {}
     inner = config.get("data")
@@ -104,6 +116,10 @@ def manifest_from_paths(
     return rows.select(F.col(path).alias("image_path"), parts["label"].alias("label"), parts["split"].alias("split"))
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """(image_path, label, split) of all image files under the root; empty when there is no root.
 
@@ -115,9 +131,14 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], MANIFEST_SCHEMA)
         raise
-    base = root.rstrip("/").split(":", 1)[-1]
-    after = F.regexp_replace(F.substring_index(F.col("path"), base + "/", -1), "^/+", "")
-    return manifest_from_paths(files.select("path"), "path", after)
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    base = system.makeQualified(folder).toUri().getPath().rstrip("/") + "/"
+    # the path without scheme and host, then without the resolved root in front
+    plain = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    after = F.when(plain.startswith(base), F.expr(f"substring(path, instr(path, '{_quoted(base)}') + {len(base)})"))
+    return manifest_from_paths(files.select("path"), "path", F.coalesce(after, plain))
 
 
 def daily_demand(df: DataFrame, time: str = TIME) -> DataFrame:

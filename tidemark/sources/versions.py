@@ -2,41 +2,74 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _row_hash(columns: Sequence[str]) -> Column:
-    """128-bit hash of the row text; missing values differ from empty text."""
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns]
-    return F.md5(F.concat_ws("|", *cells))
+def _cell(df: DataFrame, column: str) -> Column:
+    """A value as text that does not depend on the session: times as microseconds since 1970."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    if isinstance(kind, T.TimestampNTZType):
+        since = F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{column}`)")
+        return since.cast("string")
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c, {"timeZone": "UTC"})
+    return c.cast("string")
+
+
+def _row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128-bit hash of the row; every cell is written after its length, so no two rows read the same."""
+    cells = [
+        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~"))
+        for t in (_cell(df, c) for c in columns)
+    ]
+    return F.md5(F.concat(*cells))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (n_rows, version) that depends on the content and not on the order of the rows.
+    """One row (n_rows, version) that depends on names, types and content and not on the order of the rows.
 
     Row hashes are added up, so tasks combine their parts and a repeated row still changes the sum.
     """
     columns = sorted(columns or df.columns)
-    digest = _row_hash(columns)
+    digest = _row_hash(df, columns)
+    kinds = ",".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
+    schema = hashlib.md5(kinds.encode()).hexdigest()[:8]
     parts = [F.conv(F.substring(digest, at, 12), 16, 10).cast("decimal(38,0)") for at in (1, 13)]
     sums = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(parts)])
     pieces = [F.coalesce(F.col(f"s{i}"), F.lit(0)).cast("string") for i in (0, 1)]
-    return sums.select("n_rows", F.concat_ws("-", F.col("n_rows").cast("string"), *pieces).alias("version"))
+    return sums.select("n_rows", F.concat_ws("-", F.lit(schema), F.col("n_rows").cast("string"), *pieces).alias("version"))
 
 
 def diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows added and removed between two versions, repeated rows counted."""
-    columns = old.columns
-    added = new.select(*columns).exceptAll(old).withColumn("change", F.lit("added"))
-    removed = old.exceptAll(new.select(*columns)).withColumn("change", F.lit("removed"))
-    return added.unionByName(removed)
+    columns, counted = old.columns, _counted(old, new)
+    more = F.col("__new") - F.col("__old")
+    kind = F.when(more > 0, "added").otherwise("removed")
+    rows = counted.where(more != 0).withColumns({"change": kind, "__times": F.abs(more)})
+    return _repeated(rows, [*columns, "change"])
 
 
 def unchanged(old: DataFrame, new: DataFrame) -> DataFrame:
-    return old.intersectAll(new.select(*old.columns))
+    rows = _counted(old, new).withColumn("__times", F.least("__old", "__new")).where("__times > 0")
+    return _repeated(rows, old.columns)
+
+
+def _counted(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Every distinct row with how often each version has it: one scan of each and one shuffle."""
+    sides = [d.select(*old.columns, F.lit(a).alias("__old"), F.lit(b).alias("__new")) for d, a, b in ((old, 1, 0), (new, 0, 1))]
+    both = sides[0].unionByName(sides[1])
+    return both.groupBy(*old.columns).agg(F.sum("__old").alias("__old"), F.sum("__new").alias("__new"))
+
+
+def _repeated(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return rows.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*columns)
 
 
 def save_version(df: DataFrame, root: str) -> str:
