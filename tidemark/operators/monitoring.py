@@ -109,11 +109,31 @@ def windowed_sums(
     return rows.groupBy(*by, sliding).agg(*sums).select(*by, F.col("__w.end").cast(kind).alias("tick"), *names)
 
 
+def with_silence(ticks: DataFrame, by: Sequence[str], step: timedelta, counts: Sequence[str], tick: str = "tick") -> DataFrame:
+    """Every step from a group's first tick to the last tick of all groups; the added ticks have zero ``counts``.
+
+    Counters persist, so silence is a rate of zero, not a missing tick. Each row makes the ticks up to the next one.
+    """
+    one = F.lit(step)
+    end = ticks.agg(F.max(tick)).scalar() + one
+    following = F.lead(tick).over(Window.partitionBy(*by).orderBy(tick))
+    reach = ticks.withColumn("__until", F.coalesce(following, end) - one)
+    spread = F.posexplode(F.sequence(F.col(tick), F.col("__until"), one)).alias("__nth", "__tick")
+    rows = reach.select(*by, *counts, spread)
+    kept = [F.when(F.col("__nth") == 0, F.col(c)).otherwise(F.lit(0)).alias(c) for c in counts]
+    return rows.select(*by, F.col("__tick").alias(tick), *kept)
+
+
 def qps(
     log: DataFrame, window: timedelta = RATE_WINDOW, step: timedelta = RATE_STEP, watermark: str | None = None
 ) -> DataFrame:
-    """Requests per second per model."""
+    """Requests per second per model, 0 at ticks whose window holds none.
+
+    A stream knows no later request of a silent model yet: it reports only windows with requests.
+    """
     sums = windowed_sums(log, {"n": F.lit(1)}, ["model"], window, step, watermark)
+    if not log.isStreaming:
+        sums = with_silence(sums, ["model"], step, ["n"])
     return sums.withColumn("qps", F.col("n") / F.lit(window.total_seconds()))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import Contract
@@ -26,19 +26,35 @@ def temporal_split(df: DataFrame, test: float, val: float = 0.0, contract: Contr
     is neither sorted nor shuffled. Rows without a time count nowhere and get no split.
     """
     known = F.col(contract.time).isNotNull()
-    n = df.where(known).count()
+    split = F.when(~known, F.lit(None).cast("string"))
+    for name, inside in _borders(df, test, val, contract):
+        split = split.otherwise(name) if inside is None else split.when(inside, name)
+    return df.withColumn("split", split)
+
+
+def temporal_sides(df: DataFrame, test: float, val: float = 0.0, contract: Contract = Contract()) -> dict[str, DataFrame]:
+    """The sides of `temporal_split`, each as a plain filter on the order columns that reaches the file scan."""
+    sides, before = {}, F.col(contract.time).isNotNull()
+    for name, inside in _borders(df, test, val, contract):
+        sides[name] = df.where(before if inside is None else before & inside)
+        before = before if inside is None else before & ~inside
+    return sides
+
+
+def _borders(df: DataFrame, test: float, val: float, contract: Contract) -> list[tuple[str, Column | None]]:
+    """Sides in order, each with the condition that ends it; the last has none."""
+    keys = df.where(F.col(contract.time).isNotNull()).select(*_order(contract))
+    n = keys.count()
     if n == 0:
-        return df.withColumn("split", F.when(known, "train"))
+        return [("train", None)]
     n_test = max(1, int(n * test))
     n_val = max(1, int(n * val)) if val > 0 else 0
     n_train = max(1, n - n_test - n_val)
-    order = _order(contract)
-    keys = df.where(known).select(*order)
-    split = F.when(~known, F.lit(None)).when(up_to_cut(df, exact_cut(keys, order, n_train)), "train")
+    upto = lambda rows: up_to_cut(df, exact_cut(keys, _order(contract), rows))
+    sides = [("train", upto(n_train))]
     if n_val and n_train + n_val < n:
-        split = split.when(up_to_cut(df, exact_cut(keys, order, n_train + n_val)), "val")
-        return df.withColumn("split", split.otherwise("test"))
-    return df.withColumn("split", split.otherwise("val" if n_val else "test"))
+        return [*sides, ("val", upto(n_train + n_val)), ("test", None)]
+    return [*sides, ("val" if n_val else "test", None)]
 
 
 def reference_current(df: DataFrame, columns: Sequence[str], contract: Contract = Contract()) -> DataFrame:

@@ -153,8 +153,8 @@ def _training(spark, sf):
 
 
 def _tree_model(train):
-    light = {**md.LIGHT_TREE_PARAMS, "maxIter": 5}
-    return md.fit(train, md.estimator("trees", features=FEATURES, label="label", params=light), FEATURES, "label")
+    light = md.estimator("trees", features=FEATURES, label="label", params=md.LIGHT_TREE_PARAMS)
+    return md.fit(train, light, FEATURES, "label")
 
 
 @query("gbt_score")
@@ -172,7 +172,7 @@ def logreg_score(spark, sf):
                                     *[F.get("embedding", i).alias(f"x{i}") for i in range(64)])
     data = hash_split(df, ["vec_id"], 0.2)
     features = [f"x{i}" for i in range(64)]
-    pipeline = md.estimator("logistic", features=features, label="label", params={"maxIter": 30})
+    pipeline = md.estimator("logistic", features=features, label="label")
     model = md.fit(data.where("split = 'train'"), pipeline, features, "label")
     return ev.macro_f1(model.transform(data.where("split = 'test'")), "label", "prediction")
 
@@ -209,11 +209,11 @@ def search_space_sample(spark, sf):
     """Sampled settings of the logistic baseline, scored by cross validation on hashed folds."""
     space = {
         "regParam": {"type": "float", "low": 0.001, "high": 1.0, "log": True},
-        "maxIter": {"type": "int", "low": 5, "high": 15, "step": 5},
+        "maxIter": {"type": "int", "low": 50, "high": 200, "step": 50},
         "elasticNetParam": {"type": "categorical", "choices": [0.0, 0.5]},
     }
-    data = kfold(_training(spark, sf), ["event_id"], 3)
+    data = kfold(_training(spark, sf), ["event_id"], md.FOLDS)
     pipeline = md.estimator("logistic", features=FEATURES, label="label")
-    settings = md.sample_space(space, 3)
-    results, _ = md.search(data, pipeline, settings, "label", folds=3, fold_column="fold")
+    settings = md.sample_space(space, 30)
+    results, _ = md.search(data, pipeline, settings, "label", folds=md.FOLDS, fold_column="fold", parallelism=8)
     return md.trial_table(spark, results)

@@ -50,7 +50,18 @@ def prediction_histogram(spark, sf):
 QPS = f"{L} {TICKS} SELECT model, tick, count(*) AS n, round(count(*) / 21600, 9) AS qps FROM t"
 
 
-@query("qps_sliding", QPS + " GROUP BY ALL")
+def _silence_sql(step, table="t"):
+    """Counts per model and tick, with a zero for each step from the model's first tick to the last of all."""
+    return f"""
+      c AS (SELECT model, tick, count(*) AS n FROM {table} GROUP BY model, tick),
+      g AS (SELECT model, unnest(generate_series(min(tick), (SELECT max(tick) FROM c), INTERVAL {step})) AS tick
+            FROM c GROUP BY model),
+      q AS (SELECT g.model, g.tick, coalesce(c.n, 0) AS n
+            FROM g LEFT JOIN c ON g.model = c.model AND g.tick = c.tick)
+    """
+
+
+@query("qps_sliding", f"{L} {TICKS}, {_silence_sql('1 HOUR')} SELECT model, tick, n, round(n / 21600, 9) AS qps FROM q")
 def qps_sliding(spark, sf):
     return rounded(mo.qps(inference_log(spark, sf), WINDOW, STEP), 9)
 
@@ -59,8 +70,8 @@ def qps_sliding(spark, sf):
     "qps_default",
     f"""
     {L}, t AS (SELECT model, time_bucket(INTERVAL 30 SECOND, ts) + (10 - i) * INTERVAL 30 SECOND AS tick
-               FROM l, (SELECT unnest(range(10)) AS i))
-    SELECT model, tick, count(*) AS n, round(count(*) / 300, 9) AS qps FROM t GROUP BY ALL
+               FROM l, (SELECT unnest(range(10)) AS i)),
+    {_silence_sql('30 SECOND')} SELECT model, tick, n, round(n / 300, 9) AS qps FROM q
     """,
 )
 def qps_default(spark, sf):
@@ -183,7 +194,7 @@ RULE_TICKS = {
         + ", ".join(f"count(*) FILTER (WHERE latency_s <= {b}::DOUBLE) AS le_{i}" for i, b in enumerate(mo.LATENCY_BOUNDS))
         + " FROM t GROUP BY model, tick)", 4,
     ),
-    "traffic": ("SELECT model, tick, count(*) / 21600 < 0.001 AS cond FROM t GROUP BY model, tick", 2),
+    "traffic": (f"WITH {_silence_sql('1 HOUR')} SELECT model, tick, n / 21600 < 0.001 AS cond FROM q", 2),
     "shift": (
         "SELECT model, tick, abs((sum(prediction) / 21600) / greatest(count(*) / 21600, 0.0001) - 0.1) > 0.02 AS cond "
         "FROM t GROUP BY model, tick", 5,
@@ -203,6 +214,21 @@ def alert_report(spark, sf):
     return mo.alert_report(inference_log(spark, sf), RULES, WINDOW, STEP, WINDOW, 0.0001, 0.1)
 
 
+OUTAGE = f"""
+  WITH l AS (SELECT ts, 'u' || user_id AS model FROM events) {TICKS}, {_silence_sql('1 HOUR')},
+       a AS (SELECT model, tick, n / 21600 < 0.00001 AS cond FROM q)
+"""
+
+
+@query("traffic_outage", OUTAGE + _alerts_sql("", _states_sql("SELECT * FROM a", 12)))
+def traffic_outage(spark, sf):
+    """Users who were silent for more than twelve hours after their first event, as models without requests."""
+    log = events(spark, sf).select("ts", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("model"))
+    ticks = mo.qps(log, WINDOW, STEP)
+    states = mo.alert_states(ticks, ["model"], F.col("qps") < 0.00001, timedelta(hours=12), STEP)
+    return mo.alerts(states, ["model"])
+
+
 @query(
     "health_rollup",
     """

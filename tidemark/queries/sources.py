@@ -8,7 +8,9 @@ from tidemark.catalog import query
 from tidemark.contract import Contract
 from tidemark.functions.times import truncated
 from tidemark.operators import features as fx
+from tidemark.operators.splits import temporal_split
 from tidemark.operators.store import latest_rows
+from tidemark.plans.scratch import fresh_path
 from tidemark.queries.base import LOG, events, labelled, rounded
 from tidemark.session import table
 from tidemark.sources import tables as tb
@@ -92,6 +94,29 @@ def feature_label_split(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query("lake_layer", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def lake_layer(spark, sf):
+    """The events written as an interim layer and read back."""
+    path = tb.write_layer(events(spark, sf), fresh_path(spark, "lake"), "interim", "events")
+    return spark.read.parquet(path)
+
+
+@query(
+    "stage_splits",
+    """
+    SELECT event_id, ts, CASE WHEN row_number() OVER (ORDER BY ts, user_id)
+           <= count(*) OVER () - greatest(1, floor(count(*) OVER () * 0.2::DOUBLE)) THEN 'train' ELSE 'test' END
+           AS split
+    FROM events
+    """,
+)
+def stage_splits(spark, sf):
+    """The hold-out split written with one folder per split and read back."""
+    path = fresh_path(spark, "splits")
+    tb.write_splits(temporal_split(events(spark, sf), 0.2, contract=LOG).select("event_id", "ts", "split"), path)
+    return spark.read.parquet(path)
+
+
 @query(
     "cycle_align",
     """
