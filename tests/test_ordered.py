@@ -124,3 +124,16 @@ def test_cuts_are_constants_of_the_plan(spark, sliced):
     slices = od.find_slices(df, ["k"], ["ts"])
     one, two = (slices.assign(df).select("ts", od.SLICE) for _ in range(2))
     assert one.exceptAll(two).isEmpty()
+
+
+@pytest.mark.parametrize("span", [7, 168, 1000])
+def test_halo_is_the_span_per_slice_and_gives_plain_windows(spark, sliced, span):
+    df = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("ts"), (F.col("id") * 7 % 101).alias("x"))
+    slices = od.find_slices(df, ["k"], ["ts"])
+    cut = slices.assign(df)
+    near = od._near_rows(cut, ["k"], ["ts"], span, following=False).groupBy("k", od.SLICE).count().collect()
+    assert len(near) > 50 and max(r["count"] for r in near) <= span
+    frame = lambda w: {"s": F.sum("x").over(w.rowsBetween(-span, -1)), "t": F.sum("x").over(w.rowsBetween(1, span))}
+    got = od.with_window(df, ["k"], ["ts"], frame, before=span, after=span)
+    want = df.withColumns(frame(Window.partitionBy("k").orderBy("ts")))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

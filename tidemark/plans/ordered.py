@@ -170,32 +170,31 @@ def find_slices(
 
 
 def _near_rows(sliced: DataFrame, by: list[str], order: Sequence[str], count: int, following: bool) -> DataFrame:
-    """For each slice of a large group, the ``count`` rows just before (or after) it.
+    """For each slice of a large group, the ``count`` rows just before (or after) it, and no others.
 
-    Every non-empty slice holds at least one row, so the edges of the ``count`` nearest slices
-    always contain the rows wanted, however small single slices are.
+    Row counts per slice tell how many rows lie between two slices. So the row that is r-th from its slice's edge is
+    sent to exactly those slices with at most ``count`` - r rows in between: ``count`` rows per slice in all.
     """
     keys = [*by, SLICE]
     toward = [F.col(c).asc() if following else F.col(c).desc() for c in order]
     columns = [c for c in sliced.columns if c != SLICE]
-    nearest = Window.partitionBy(*keys).orderBy(*toward)
-    edges = (
-        sliced.where(F.col(LARGE))
-        .withColumn(_RANK, F.row_number().over(nearest))
-        .where(F.col(_RANK) <= count)
-        .groupBy(*keys)
-        .agg(F.collect_list(F.struct(*columns)).alias(_EDGE))
-    )
-    along = F.col(SLICE).desc() if following else F.col(SLICE).asc()
-    neighbours = Window.partitionBy(*by).orderBy(along).rowsBetween(-count, -1)
-    return (
-        edges.withColumn(_EDGE, F.flatten(F.collect_list(_EDGE).over(neighbours)))
-        .select(SLICE, F.explode(_EDGE).alias(_EDGE))
-        .select(SLICE, f"{_EDGE}.*")
-        .withColumn(_RANK, F.row_number().over(nearest))
-        .where(F.col(_RANK) <= count)
-        .drop(_RANK)
-    )
+    large = sliced.where(F.col(LARGE))
+    edges = large.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*toward)))
+    along = Window.partitionBy(*by).orderBy(F.col(SLICE).desc() if following else F.col(SLICE).asc())
+    sizes = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.withColumn("__upto", F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    ahead = F.struct(F.col(SLICE).alias("to"), (F.col("__upto") - F.col("__n")).alias("start"))
+    sizes = sizes.withColumn(_EDGE, F.collect_list(ahead).over(along.rowsBetween(1, count)))
+    reach = F.filter(_EDGE, lambda t: t["start"] - F.col("__upto") < count)
+    near = F.transform(reach, lambda t: F.struct(t["to"].alias("to"), (t["start"] - F.col("__upto")).alias("gap")))
+    targets = sizes.select(*[F.col(k).alias(f"__to_{k}") for k in keys], near.alias(_EDGE)).where(F.size(_EDGE) > 0)
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__to_{k}"))
+    sent = edges.where(F.col(_RANK) <= count).join(targets, match)
+    sent = sent.withColumn(_EDGE, F.filter(_EDGE, lambda t: t["gap"] + F.col(_RANK) <= count))
+    sent = sent.withColumn(_EDGE, F.explode(_EDGE))
+    return sent.select(F.col(f"{_EDGE}.to").alias(SLICE), *columns)
 
 
 def with_window(
