@@ -157,3 +157,14 @@ def test_an_outage_fires(spark):
     assert min(r.qps for r in ticks) == 0 and all(b.tick - a.tick == timedelta(seconds=30) for a, b in zip(ticks, ticks[1:]))
     raised = monitoring.alert_report(log).where("rule = 'InferenceTrafficDrop'").collect()
     assert sorted(r.model for r in raised) == ["a", "b"] and all(r.fired_at - r.since == timedelta(minutes=15) for r in raised)
+
+
+def test_intermediate_tables_can_be_released(spark, monkeypatch):
+    import os
+
+    from tidemark.plans import scratch
+
+    monkeypatch.setattr(scratch, "_made", [])
+    path, made = scratch.written_to(spark.range(3).toDF("x"), "numbers")
+    assert made.count() == 3 and os.path.exists(path)
+    assert scratch.release(spark) == 1 and not os.path.exists(path)

@@ -92,9 +92,12 @@ def test_stream_equals_batch(spark, folder, small, name):
     schema = events(spark, small).schema
     stream = inference_log(spark, small, jobs.file_stream(spark, folder, schema, files_per_trigger=1))
     got = jobs.run_to_table(MONITORS[name](stream, jobs.WATERMARK), name)
+    got = got.where(F.col("tick") < F.lit("2024-05-01").cast("timestamp_ntz"))
+    if name == "qps":
+        got = mo.zero_rates(got, W[1])
     want = MONITORS[name](inference_log(spark, small), None)
     places = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in want.dtypes]
-    assert rows(got.where(F.col("tick") < F.lit("2024-05-01").cast("timestamp_ntz")).select(places)) == rows(want.select(places))
+    assert rows(got.select(places)) == rows(want.select(places))
 
 
 def test_downsample_stream_equals_batch(spark, folder, small):

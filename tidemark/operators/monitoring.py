@@ -120,7 +120,7 @@ def with_silence(ticks: DataFrame, by: Sequence[str], step: timedelta, counts: S
     reach = ticks.withColumn("__until", F.coalesce(following, end) - one)
     spread = F.posexplode(F.sequence(F.col(tick), F.col("__until"), one)).alias("__nth", "__tick")
     rows = reach.select(*by, *counts, spread)
-    kept = [F.when(F.col("__nth") == 0, F.col(c)).otherwise(F.lit(0)).alias(c) for c in counts]
+    kept = [F.when(F.col("__nth") == 0, F.col(c)).otherwise(F.lit(0).cast(ticks.schema[c].dataType)).alias(c) for c in counts]
     return rows.select(*by, F.col("__tick").alias(tick), *kept)
 
 
@@ -129,12 +129,16 @@ def qps(
 ) -> DataFrame:
     """Requests per second per model, 0 at ticks whose window holds none.
 
-    A stream knows no later request of a silent model yet: it reports only windows with requests.
+    A stream reports windows with requests; `zero_rates` over the table it has written adds the silent ones.
     """
     sums = windowed_sums(log, {"n": F.lit(1)}, ["model"], window, step, watermark)
-    if not log.isStreaming:
-        sums = with_silence(sums, ["model"], step, ["n"])
-    return sums.withColumn("qps", F.col("n") / F.lit(window.total_seconds()))
+    rates = sums.withColumn("qps", F.col("n") / F.lit(window.total_seconds()))
+    return rates if log.isStreaming else zero_rates(rates, step)
+
+
+def zero_rates(rates: DataFrame, step: timedelta = RATE_STEP) -> DataFrame:
+    """The table of `qps` with rate 0 at every silent tick up to the last tick of any model."""
+    return with_silence(rates, ["model"], step, ["n", "qps"])
 
 
 def error_ratio(

@@ -1,23 +1,19 @@
-"""Joins with a side that should be small, broadcast only after its size is known."""
+"""Joins with a side that should be small."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.plans.scratch import written
 
-BROADCAST_ROWS = 100_000
-
 
 def join_small(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join a narrow aggregate to a large table.
 
-    The aggregate is written first, so counting it is cheap and it is not computed again. Up to
-    ``BROADCAST_ROWS`` rows it is broadcast, which spares the large side a shuffle by keys that may be
-    few and hot; beyond that the join is left to Spark.
+    The aggregate is written first, so it is not computed again and the optimizer knows its size in bytes: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, which spares the large side a shuffle by keys that may
+    be few and hot; beyond that the tables are shuffled.
     """
-    side = written(right, "side")
-    return left.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, list(on), how)
+    return left.join(written(right, "side"), list(on), how)

@@ -8,7 +8,7 @@ from tidemark.catalog import query
 from tidemark.functions.times import truncated
 from tidemark.operators import monitoring as mo
 from tidemark.operators.quality import downsample
-from tidemark.plans.scratch import written
+from tidemark.plans.scratch import written_to
 from tidemark.queries.base import INFERENCE_SQL, LOG, events, inference_log, rounded
 from tidemark.streaming import jobs
 
@@ -47,9 +47,6 @@ def prediction_histogram(spark, sf):
     return mo.prediction_histogram(inference_log(spark, sf))
 
 
-QPS = f"{L} {TICKS} SELECT model, tick, count(*) AS n, round(count(*) / 21600, 9) AS qps FROM t"
-
-
 def _silence_sql(step, table="t"):
     """Counts per model and tick, with a zero for each step from the model's first tick to the last of all."""
     return f"""
@@ -267,10 +264,15 @@ def stream_downsample(spark, sf):
     return rounded(jobs.run_to_table(hourly, "hourly"))
 
 
-@query("stream_qps", QPS + f" GROUP BY ALL HAVING tick {CLOSED}")
+@query(
+    "stream_qps",
+    f"{L} {TICKS}, done AS (SELECT * FROM t WHERE tick {CLOSED}), {_silence_sql('1 HOUR', 'done')} "
+    "SELECT model, tick, n, round(n / 21600, 9) AS qps FROM q",
+)
 def stream_qps(spark, sf):
     log = inference_log(spark, sf, _event_stream(spark, sf))
-    return rounded(jobs.run_to_table(mo.qps(log, WINDOW, STEP, jobs.WATERMARK), "qps"), 9)
+    rates = jobs.run_to_table(mo.qps(log, WINDOW, STEP, jobs.WATERMARK), "qps")
+    return rounded(mo.zero_rates(rates, STEP), 9)
 
 
 @query("stream_dedup", "SELECT event_id, user_id, ts, value FROM events")
@@ -286,7 +288,7 @@ def stream_dedup(spark, sf):
 def stream_alerts(spark, sf):
     """The alert states again, from a stream over the written evaluation ticks."""
     ticks = _shift_ticks(spark, sf)
-    folder = written(ticks.select("model", "tick", "shifted"), "ticks").inputFiles()[0].rsplit("/", 1)[0]
-    stream = jobs.file_stream(spark, folder, ticks.select("model", "tick", "shifted").schema)
+    folder, made = written_to(ticks.select("model", "tick", "shifted"), "ticks")
+    stream = jobs.file_stream(spark, folder, made.schema)
     states = jobs.alert_stream(stream, ["model"], F.col("shifted"), timedelta(hours=3), STEP)
     return jobs.run_to_table(states, "alerts")
