@@ -39,11 +39,11 @@ CLOSED_BY = {
 FENCES = {"table", "ul", "ol", "dl", "article", "section", "div", "main", "body", "html", "td", "th", "blockquote"}
 #: names of boxes beside the article
 BESIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
-    r"nav\w*|menus?|breadcrumbs?|sidebars?|side-bar|aside|footer|foot|masthead|site-?header|page-?header|topbar|toolbar|"
-    r"comment\w*|disqus\w*|respond|replies|share|sharing|social|related|recommend\w*|newsletter|subscri\w*|"
-    r"signup|login|pagination|pager|widgets?|skip|search|navigation|complementary|contentinfo|alert|alertdialog)"
-    r"(?=$|[\s_-])", re.I,
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|teaser\w*|cookie\w*|consent\w*|gdpr|notices?|"
+    r"noticebar|disclaimer\w*|copyright|popup\w*|modal\w*|overlay|nav\w*|menus?|menubar|breadcrumbs?|toc|\w*sidebars?|aside|"
+    r"footer\w*|foot|masthead|site-?header|page-?header|topbar|toolbar|\w*comments?|comment\w*|disqus\w*|respond|replies|"
+    r"share\w*|sharing|social\w*|related\w*|recommend\w*|newsletter\w*|subscri\w*|signup|login|paywall|pagination|pager|"
+    r"widgets?|skip|search|navigation|complementary|contentinfo|alert|alertdialog)(?=$|[\s_-])", re.I,
 )
 #: class words that speak of the layout, not of the box
 LAYOUT = re.compile(r"(?:has|with|without|no|is)-", re.I)
