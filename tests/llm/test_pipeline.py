@@ -3,8 +3,8 @@
 from collections import Counter
 
 import corpus_pipeline
-from test_decontam import brute
-from test_simhash import groups, plain
+from llm.test_decontam import brute
+from llm.test_simhash import groups, plain
 
 from tidemark.llm import mixing, quality
 
