@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,12 +29,18 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where the body uses it for every element of an array."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def softmax(logits: Column) -> Column:
     """Softmax of an array, shifted by its maximum so that it cannot overflow."""
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / total)
+    shares = lambda powers: let(
+        F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x), lambda total: F.transform(powers, lambda x: x / total)
+    )
+    powers = lambda v: let(F.array_max(v), lambda top: F.transform(v, lambda x: F.exp(x - top)))
+    return let(logits, lambda v: let(powers(v), shares))
 
 
 def argmax(values: Column) -> Column:
