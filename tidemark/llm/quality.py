@@ -262,7 +262,7 @@ def quality_scores(
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject.
 
-    Rejected ids are taken out by an anti join; rows without an id stay unless... they are never rejected.
+    Rejected ids are taken out by an anti join; rows without an id cannot be named and stay.
     """
     rejected = quality_scores(docs, labels, **options).where("predicted = 0").select(F.col("doc_id").alias("__no"))
     rejected = rejected.where("__no is not null").distinct()
