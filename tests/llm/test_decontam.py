@@ -38,7 +38,7 @@ def test_matches_brute_force_also_in_blocks(spark, table):
     want = brute(docs, items)
     assert any(v[1] for v in want.values())
     assert as_dict(decontam.contamination(table("documents"), table("benchmark"))) == want
-    assert as_dict(decontam.contamination(table("documents"), table("benchmark"), block_bytes=700)) == want
+    assert as_dict(decontam.contamination(table("documents"), table("benchmark"), block_bytes=9000)) == want
 
 
 def test_short_items_overlaps_and_case(spark):
@@ -54,9 +54,23 @@ def test_short_items_overlaps_and_case(spark):
     assert [r.doc_id for r in decontam.clean_documents(d, b).orderBy("doc_id").collect()] == [2, 3, 4, 5, 7, 8]
 
 
+def test_runs_of_several_blocks_join(spark):
+    text = "a1 b2 c3 d4 e5 f6"
+    docs = spark.createDataFrame([(1, text), (2, text), (3, None), (4, "q"), (None, text)], "doc_id long, text string")
+    items = [(i, t) for i, t in enumerate(["a1 b2", "b2 c3", "d4", "f6", "q r", "zz"])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    made = decontam.contamination(docs, bench, block_bytes=3)
+    got = {r.doc_id: ([tuple(s) for s in r.hit_spans], r.item_ids, r.n_words) for r in made.collect()}
+    full = ([(0, 4), (5, 6)], ["0", "1", "2", "3"], 6)
+    assert got == {1: full, 2: full, None: full, 3: ([], [], 0), 4: ([], [], 1)}
+    assert made.columns == decontam.contamination(docs, bench).columns
+
+
 def test_odd_rows_and_empty_tables(spark, table, odd_documents, no_documents):
     rows = decontam.contamination(odd_documents, table("benchmark"), keep=["doc_id", "n_words", "lang"]).collect()
     assert len(rows) == odd_documents.count() and all(isinstance(r.n_words, int) for r in rows)
+    parts = decontam.contamination(odd_documents, table("benchmark"), keep=["doc_id", "n_words", "lang"], block_bytes=12000)
+    assert sorted(map(str, parts.collect())) == sorted(map(str, rows))
     clean = decontam.clean_documents(odd_documents, table("benchmark").where("false"))
     assert clean.columns == odd_documents.columns and clean.count() == odd_documents.count()
     assert decontam.contamination(no_documents, table("benchmark")).count() == 0

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.batches import ALNUM, LOWER, Words, mixed, with_text_columns
+from tidemark.plans.scratch import written
 
 TABLE_BITS = 18
 SEGMENT_WORDS = 512
-#: benchmark bytes whose windows one search holds in memory; more items are searched in further blocks
-BLOCK_BYTES = 16 << 20
+#: benchmark bytes that one pass searches for: a task holds their windows, about 50 times as much memory
+BLOCK_BYTES = 4 << 20
 STEP = np.uint64(0xA24BAED4963EE407)
 
 
@@ -111,71 +115,60 @@ class WuManber:
         return out
 
 
-def _searchers(cache: dict, blocks) -> list[list[WuManber]]:
-    if "made" not in cache:
-        cache["made"] = [[WuManber(size, found) for size, found in block.items()] for block in blocks]
-    return cache["made"]
+#: the searchers of the last block that a Python worker has seen
+_ready: dict[str, tuple[list[str], list[WuManber]]] = {}
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text: str, limit: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of about ``limit`` bytes, each read by itself; null ids and texts without words drop out."""
+def _searchers(key: str, sent: Broadcast, width: int) -> tuple[list[str], list[WuManber]]:
+    if key not in _ready:
+        items = sent.value
+        _ready.clear()
+        _ready[key] = [i for i, _ in items], [WuManber(size, found) for size, found in windows_of(items, width).items()]
+    return _ready[key]
+
+
+def item_blocks(benchmark: DataFrame, id_col: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
+    """The items in blocks of about ``limit`` bytes, each fetched when its turn comes and at least one in all; null ids
+    and texts drop out. A single longer item is a block of its own or shares one."""
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text).alias("t"))
     items = items.where("i is not null and t is not null").distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     count = max(1, -(-total // limit))
     part = F.pmod(F.xxhash64("t"), F.lit(count))
-    return [[(r.i, r.t) for r in items.where(part == k).orderBy("i", "t").collect()] for k in range(count)]
+    for k in range(count):
+        yield [(r.i, r.t) for r in items.where(part == k).orderBy("i", "t").collect()]
 
 
-def contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    width: int = 10,
-    keep: Sequence[str] = ("doc_id",),
-    text: str = "text",
-    item_id: str = "item_id",
-    item_text: str = "text",
-    block_bytes: int = BLOCK_BYTES,
-) -> DataFrame:
-    """``keep`` columns plus n_words, hit_spans and item_ids for every document.
+FOUND = [
+    T.StructField("n_words", T.LongType(), False),
+    T.StructField("hit_spans", T.ArrayType(T.StructType([
+        T.StructField("first", T.LongType()), T.StructField("end", T.LongType()),
+    ])), False),
+    T.StructField("item_ids", T.ArrayType(T.StringType()), False),
+]
 
-    hit_spans holds the runs [first, end) of words inside an occurrence of some window of ``width`` consecutive words of
-    an item (an item of fewer words is one window); item_ids the items with an occurring window, sorted as strings. The
-    documents are read once and never shuffled. Items are a stated query set: they go to the tasks in blocks of at most
-    ``block_bytes``, one search after the other over the same rows, so their number is not bounded.
 
-    Null and empty texts have no words and no hits; an empty benchmark hits nothing; items without id or words are left
-    out; repeated items count once. Kept columns of the same name as a result column give way to it.
-    """
-    fields = [
-        T.StructField("n_words", T.LongType(), False),
-        T.StructField("hit_spans", T.ArrayType(T.StructType([
-            T.StructField("first", T.LongType()), T.StructField("end", T.LongType()),
-        ])), False),
-        T.StructField("item_ids", T.ArrayType(T.StringType()), False),
-    ]
-    spark = docs.sparkSession
-    blocks = item_blocks(benchmark, item_id, item_text, block_bytes)
-    sent = [spark.sparkContext.broadcast((windows_of(b, width), [i for i, _ in b])) for b in blocks]
-    cache: dict = {}
+def search_block(
+    docs: DataFrame, items: Sequence[tuple[str, str]], width: int, keep: Sequence[str], text: str
+) -> DataFrame:
+    """``keep`` columns plus n_words, hit_spans and item_ids for the windows of one block of items."""
+    sent, key = docs.sparkSession.sparkContext.broadcast(list(items)), uuid.uuid4().hex
 
     def compute(data, borders):
-        searchers = _searchers(cache, [s.value[0] for s in sent])
+        ids, searchers = _searchers(key, sent, width)
         words = Words(data, borders, ALNUM)
         change = np.zeros(len(words.start) + 1, np.int64)
         hit_items: dict[int, set[str]] = {}
-        for number, block in enumerate(searchers):
-            ids = sent[number].value[1]
-            for one in block:
-                hits = one.search(data, words)
-                if not hits:
-                    continue
-                first = np.array([h[0] for h in hits])
-                np.add.at(change, first, 1)
-                np.add.at(change, first + one.size, -1)
-                owner = np.searchsorted(words.bounds, first, side="right") - 1
-                for doc, (_, window) in zip(owner.tolist(), hits):
-                    hit_items.setdefault(doc, set()).update(ids[i] for i in one.patterns[window])
+        for one in searchers:
+            hits = one.search(data, words)
+            if not hits:
+                continue
+            first = np.array([h[0] for h in hits])
+            np.add.at(change, first, 1)
+            np.add.at(change, first + one.size, -1)
+            owner = np.searchsorted(words.bounds, first, side="right") - 1
+            for doc, (_, window) in zip(owner.tolist(), hits):
+                hit_items.setdefault(doc, set()).update(ids[i] for i in one.patterns[window])
         inside = np.cumsum(change)[:-1] > 0
         # runs of hit words; a run ends with its document
         edge = np.zeros(len(inside) + 1, bool)
@@ -195,7 +188,63 @@ def contamination(
             ),
         }
 
-    return with_text_columns(docs, text, compute, fields, keep)
+    return with_text_columns(docs, text, compute, FOUND, keep)
+
+
+def merged_hits(hits: DataFrame, key: str) -> DataFrame:
+    """One row per text with the runs that its ``hit_spans`` rows cover together and all their items."""
+    spans = hits.select(key, F.inline("hit_spans"))
+    by_first = Window.partitionBy(key).orderBy("first", "end")  # the spans of one text
+    reach = F.max("end").over(by_first.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("__new", F.coalesce((F.col("first") > reach).cast("int"), F.lit(1)))
+    spans = spans.withColumn("__run", F.sum("__new").over(by_first.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = spans.groupBy(key, "__run").agg(F.min("first").alias("first"), F.max("end").alias("end"))
+    runs = runs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "end"))).alias("hit_spans"))
+    ids = hits.select(key, F.explode("item_ids").alias("i")).groupBy(key)
+    return runs.join(ids.agg(F.array_sort(F.collect_set("i")).alias("item_ids")), key)
+
+
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 10,
+    keep: Sequence[str] = ("doc_id",),
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``keep`` columns plus n_words, hit_spans and item_ids for every document.
+
+    hit_spans holds the runs [first, end) of words inside an occurrence of some window of ``width`` consecutive words of
+    an item (an item of fewer words is one window); item_ids the items with an occurring window, sorted as strings.
+
+    Items are a stated query set: a block of at most about ``block_bytes`` of them is broadcast, and the documents are
+    searched where they are read, without a shuffle. Where the benchmark is larger, its blocks take their turn: each is
+    searched in a pass of its own, of which only the texts with hits are written, so neither the driver nor a task ever
+    holds two blocks; at the end the hits go back to the documents by the text's SHA-256. Every window is searched in
+    every document at any size.
+
+    Null and empty texts have no words and no hits; an empty benchmark hits nothing; items without id or words are left
+    out; repeated items count once. Kept columns of the same name as a result column give way to it.
+    """
+    made = [f.name for f in FOUND]
+    keep = [c for c in keep if c not in made]
+    blocks = item_blocks(benchmark, item_id, item_text, block_bytes)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return search_block(docs, first, width, keep, text)
+    digest = F.sha2(F.col(text).cast("binary"), 256).alias("__sha")
+    texts = docs.where(F.col(text).isNotNull()).select(digest, F.col(text).alias("__t"))
+    hits = None
+    for number, block in enumerate(chain([first, second], blocks)):
+        found = search_block(texts, block, width, ["__sha"], "__t").where(F.size("hit_spans") > 0)
+        found = written(found.select("__sha", "hit_spans", "item_ids").dropDuplicates(["__sha"]), f"hits-{number}")
+        hits = found if hits is None else hits.union(found)
+    hits = written(merged_hits(hits, "__sha"), "hits")
+    each = search_block(docs.select("*", digest), [], width, [*keep, "__sha"], text).drop("hit_spans", "item_ids")
+    none = lambda name: F.coalesce(name, F.array().cast(hits.schema[name].dataType)).alias(name)
+    return each.join(hits, "__sha", "left").select(*keep, "n_words", none("hit_spans"), none("item_ids"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
