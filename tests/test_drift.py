@@ -83,3 +83,36 @@ def test_injection(spark):
     df = spark.createDataFrame([(2.0,)], "x double")
     assert dr.inject_drift(df, "x", 8.0, 1.5).first()["x"] == 11.0
     assert dr.inject_drift(df, "x", F.lit(1.0)).first()["x"] == 3.0
+
+
+def test_report_has_all_distances_and_reads_once(spark):
+    draw = random.Random(5)
+    df = sides(spark, [round(draw.gauss(0, 1), 2) for _ in range(400)], [round(draw.gauss(0.5, 1), 2) for _ in range(300)])
+    df = df.withColumn("y", F.when(F.col("side") == "reference", 1.0))  # no value on the current side
+    got = {r["feature"]: r for r in dr.drift_report(df, ["x", "y"]).collect()}
+    one = dr.ks_drift(df, ["x"]).first()
+    assert [got["x"][c] for c in ("statistic", "p_value", "drifted")] == [one[c] for c in ("statistic", "p_value", "drifted")]
+    assert got["x"]["psi"] == pytest.approx(dr.psi(df, ["x"]).first()["psi"])
+    assert got["x"]["wasserstein"] == pytest.approx(dr.wasserstein(df, ["x"]).first()["wasserstein"])
+    assert got["y"]["p_value"] is None and got["y"]["drifted"] is False
+    known = dr.reference_counts(df.where("side = 'reference'"), ["x", "y"], "v1")
+    again = {r["feature"]: r for r in dr.drift_from_profile(known, df.where("side = 'current'"), ["x", "y"]).collect()}
+    assert again["x"] == got["x"] and again["y"]["drifted"] is False
+
+
+def test_categories_have_a_p_value(spark):
+    rows = [("reference", c) for c in "a" * 60 + "b" * 40] + [("current", c) for c in "a" * 40 + "b" * 60]
+    got = dr.category_drift(spark.createDataFrame(rows, "side string, c string"), "c").first()
+    assert got["chi_square"] == pytest.approx(8.0) and got["p_value"] == pytest.approx(math.erfc(2.0)) and got["drifted"]
+    alone = dr.category_drift(spark.createDataFrame([("reference", "a"), ("current", "a")], "side string, c string"), "c")
+    assert alone.first()["p_value"] is None and alone.first()["drifted"] is False
+    empty = dr.category_drift(spark.createDataFrame([], "side string, c string"), "c").first()
+    assert empty["p_value"] is None and empty["drifted"] is False
+
+
+def test_moments_of_large_values_do_not_cancel(spark):
+    values = [1e9, 1e9 + 1, 1e9 + 2, 1e9 + 2]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = dr.reference_profile(df, ["x"], "v1").first()
+    assert got["n"] == 4 and got["std"] == pytest.approx(np.std(values, ddof=1))
+    assert dr.reference_profile(df.limit(1), ["x"], "v1").first()["std"] is None

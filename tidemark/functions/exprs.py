@@ -62,6 +62,37 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(stretch < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
 
 
+def _upper_gamma(a: Column, x: Column) -> Column:
+    """Regularised upper incomplete gamma function Q(a, x) for whole and half a > 0, by the series of its complement."""
+    whole = F.floor(a)
+    half = a != whole
+    # ln Gamma(a + 1) from its recursion, starting at Gamma(1/2) = sqrt(pi) or Gamma(1) = 1
+    start = F.when(half, F.lit(math.log(math.pi) / 2)).otherwise(F.lit(0.0))
+    factors = F.sequence(F.lit(1).cast("long"), F.greatest(whole + half.cast("long"), F.lit(1)))
+    log_gamma = F.aggregate(factors, start, lambda acc, i: acc + F.ln(i - F.when(half, 0.5).otherwise(0.0)))
+    bound = a + 40 * F.sqrt(a) + 200  # beyond it Q is below 1e-30
+    near = F.least(x, bound)
+    share = F.exp(a * F.ln(near) - near - log_gamma)  # the sum starts at its share, so that it cannot overflow
+
+    def step(acc, n):
+        term = acc["term"] * near / (a + n)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    terms = F.sequence(F.lit(1).cast("long"), F.ceil(near + 20 * F.sqrt(near) + 60))
+    lower = F.aggregate(terms, F.struct(share.alias("term"), share.alias("total")), step)["total"]
+    return F.when(x <= 0, 1.0).when(x > bound, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - lower)))
+
+
+def chi_square_p_value(statistic: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution; NULL without degrees of freedom. Beyond 1000 degrees the cube root is
+    taken as normal, which is right to five places."""
+    spread = F.lit(2.0) / (9.0 * dof)
+    z = (F.pow(statistic / dof, 1 / 3) - (1.0 - spread)) / F.sqrt(spread)
+    tail = _upper_gamma(F.lit(0.5), z * z / 2) / 2  # half of the complementary error function
+    normal = F.when(z >= 0, tail).otherwise(1.0 - tail)
+    return F.when(dof > 1000, normal).when(dof > 0, _upper_gamma(dof / 2, statistic / 2))
+
+
 def two_proportion_z(x1: Column, n1: Column, x2: Column, n2: Column) -> Column:
     """z statistic of rate 1 against rate 2 with pooled variance; NULL when undefined."""
     pooled = F.try_divide((x1 + x2).cast("double"), (n1 + n2).cast("double"))

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import LABEL, Contract
-from tidemark.functions.exprs import equal_width_bin, ks_p_value, ratio, two_proportion_z
+from tidemark.functions.exprs import chi_square_p_value, equal_width_bin, ks_p_value, ratio, two_proportion_z
 from tidemark.functions.times import truncated
-from tidemark.plans.distribution import count_sides, exact_quantiles, long_values, two_sided, with_running
-from tidemark.plans.ordered import with_window
+from tidemark.plans.distribution import (
+    count_sides,
+    long_values,
+    moments_of_counts,
+    quantiles_of_counts,
+    two_sided,
+    value_counts_of,
+    with_running,
+)
+from tidemark.plans.scratch import written
 
 # Significance level, share of columns that makes a dataset drift, current window,
 # sweep of shifts in reference standard deviations, histogram bins.
@@ -55,9 +63,8 @@ def _is_reference() -> Column:
 
 
 def _ks_from(frame: DataFrame, by: Sequence[str], alpha: float) -> DataFrame:
-    gap = F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
     found = frame.groupBy(*by, "feature").agg(
-        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"), F.max(gap).alias("statistic")
+        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"), F.max(_gap()).alias("statistic")
     )
     p = ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
     tested = found.withColumn("p_value", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), p))
@@ -113,17 +120,75 @@ def psi(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), bins: int
     return binned.groupBy(*by, "feature").agg(F.sum(term).alias("psi"))
 
 
+def _gap() -> Column:
+    return F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
+
+
 def wasserstein(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """First Wasserstein distance: area between the two distribution functions."""
-    frame = two_sided(df, columns, _is_reference(), by)
+    frame = two_sided(df, columns, _is_reference(), by, following=True)
+    area = F.coalesce(F.sum(_gap() * (F.col("__next") - F.col("value"))), F.lit(0.0))
+    return frame.groupBy(*by, "feature").agg(area.alias("wasserstein"))
+
+
+def _report_from(
+    frame: DataFrame, by: Sequence[str], alpha: float, bins: int = 10, floor: float = 1e-4
+) -> DataFrame:
+    """All distances from one frame: first per bin of the reference, then per column."""
     groups = [*by, "feature"]
-    stepped = with_window(
-        frame, groups, ["value"], lambda w: {"__next": F.lead("value").over(w)}, after=1,
-        sizing=long_values(df, columns, by), at_most=df.count() * len(columns),
+    below = ratio((F.col("cum_ref") - F.col("ref")) * bins, F.col("n_ref"))
+    place = F.least(F.floor(below), F.lit(bins - 1)).cast("int")
+    binned = frame.groupBy(*groups, place.alias("__bin")).agg(
+        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"), F.max(_gap()).alias("__gap"),
+        F.sum(_gap() * (F.col("__next") - F.col("value"))).alias("__area"),
+        F.greatest(ratio(F.sum("ref"), F.first("n_ref")), F.lit(floor)).alias("__r"),
+        F.greatest(ratio(F.sum("cur"), F.first("n_cur")), F.lit(floor)).alias("__c"),
     )
-    gap = F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
-    area = F.coalesce(F.sum(gap * (F.col("__next") - F.col("value"))), F.lit(0.0))
-    return stepped.groupBy(*groups).agg(area.alias("wasserstein"))
+    term = (F.col("__c") - F.col("__r")) * F.ln(F.col("__c") / F.col("__r"))
+    found = binned.groupBy(*groups).agg(
+        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"), F.max("__gap").alias("statistic"),
+        F.sum(term).alias("psi"), F.coalesce(F.sum("__area"), F.lit(0.0)).alias("wasserstein"),
+    )
+    p = F.when(
+        (F.col("n_ref") > 0) & (F.col("n_cur") > 0), ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
+    )
+    tested = found.withColumn("p_value", p)
+    return tested.withColumn("drifted", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
+
+
+def drift_report(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), alpha: float = P_THRESHOLD, bins: int = 10
+) -> DataFrame:
+    """K-S, PSI and Wasserstein distance of every number column, with p-value and flag, from one read of the table.
+
+    Missing values and NaN are left out. A column without a value on one side has no p-value and does not drift; one
+    without any value has no row.
+    """
+    return _report_from(two_sided(df, columns, _is_reference(), by, following=True), by, alpha, bins)
+
+
+def reference_counts(df: DataFrame, columns: Sequence[str], version: str) -> DataFrame:
+    """A reference table as counts of distinct values, tied to a version: (version, feature, value, n)."""
+    return value_counts_of(df, columns).select(F.lit(version).alias("version"), "feature", "value", "n")
+
+
+def counts_against(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts of both sides, from stored `reference_counts` of one version and one read of the current table."""
+    none = F.lit(0).cast("long")
+    known = reference.where(F.col("feature").isin(list(columns)))
+    rows = known.select("feature", "value", F.col("n").alias("ref"), none.alias("cur")).unionByName(
+        long_values(current, columns).select("feature", "value", none.alias("ref"), none.alias("cur") + 1)
+        .toDF("feature", "value", "ref", "cur")
+    )
+    merged = rows.groupBy("feature", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    return written(merged, "sides")
+
+
+def drift_from_profile(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], alpha: float = P_THRESHOLD, bins: int = 10
+) -> DataFrame:
+    """`drift_report` of a current table against stored `reference_counts`; the reference table is not read."""
+    return _report_from(with_running(counts_against(reference, current, columns), [], following=True), [], alpha, bins)
 
 
 def drift_sweep(df: DataFrame, column: str, steps: Sequence[float] = SWEEP, alpha: float = P_THRESHOLD) -> DataFrame:
@@ -131,10 +196,10 @@ def drift_sweep(df: DataFrame, column: str, steps: Sequence[float] = SWEEP, alph
 
     The table is first reduced to distinct values with counts; only those are repeated per step.
     """
-    reference = df.where(_is_reference())
-    sigma = reference.agg(F.stddev_samp(F.col(column).cast("double"))).scalar()
     long = long_values(df.withColumn("__ref", _is_reference()), [column], ["__ref"])
-    counts = count_sides(long, [])
+    counts = written(count_sides(long, []), "sides")
+    spread = moments_of_counts(counts.where("ref > 0").select("feature", "value", F.col("ref").alias("n"))).first()
+    sigma = F.lit(spread["std"] if spread else None).cast("double")
     shifted = counts.select("*", F.explode(F.array(*[F.lit(float(k)) for k in steps])).alias("shift_sd"))
     # the reference copy of a value stays, the current copy moves
     halves = F.array(
@@ -147,7 +212,7 @@ def drift_sweep(df: DataFrame, column: str, steps: Sequence[float] = SWEEP, alph
     )
     moved = shifted.select("shift_sd", "feature", F.inline(halves)).groupBy("shift_sd", "feature", "value")
     merged = moved.agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
-    return _ks_from(with_running(merged, ["shift_sd"]), ["shift_sd"], alpha)
+    return _ks_from(with_running(written(merged, "moved"), ["shift_sd"]), ["shift_sd"], alpha)
 
 
 def overlay_histogram(df: DataFrame, columns: Sequence[str], bins: int = OVERLAY_BINS) -> DataFrame:
@@ -172,22 +237,50 @@ def entity_mix(df: DataFrame, entity: Sequence[str]) -> DataFrame:
     return counts.withColumn("in_both", (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
 
 
-def category_drift(df: DataFrame, column: str, floor: float = 1e-4) -> DataFrame:
-    """Chi-square statistic of side against category, degrees of freedom, and PSI of the shares."""
+def category_drift(df: DataFrame, column: str, floor: float = 1e-4, alpha: float = P_THRESHOLD) -> DataFrame:
+    """Chi-square statistic of side against category, degrees of freedom, PSI of the shares, p-value and flag.
+
+    NULL is a category. With fewer than two categories, or an empty side, there is no p-value and no drift.
+    """
     counts = df.groupBy(F.col(column).alias("category")).agg(
         F.count_if(_is_reference()).alias("a"), F.count_if(~_is_reference()).alias("b")
     )
-    sums = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    all_a, all_b = sums.select("a").scalar(), sums.select("b").scalar()
+    counts = written(counts, "categories")
+    sums = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+    all_a, all_b = (F.lit(n or 0).cast("long") for n in sums)
     share_a = F.greatest(ratio(F.col("a"), all_a), F.lit(floor))
     share_b = F.greatest(ratio(F.col("b"), all_b), F.lit(floor))
     expected_a = (F.col("a") + F.col("b")) * ratio(all_a, all_a + all_b)
     expected_b = (F.col("a") + F.col("b")) * ratio(all_b, all_a + all_b)
-    part = F.pow(F.col("a") - expected_a, 2) / expected_a + F.pow(F.col("b") - expected_b, 2) / expected_b
+    part = F.try_divide(F.pow(F.col("a") - expected_a, 2), expected_a) + F.try_divide(
+        F.pow(F.col("b") - expected_b, 2), expected_b
+    )
     terms = counts.select(part.alias("chi"), ((share_b - share_a) * F.ln(share_b / share_a)).alias("psi"))
-    return terms.agg(
+    found = terms.agg(
         F.sum("chi").alias("chi_square"), (F.count(F.lit(1)) - 1).alias("dof"), F.sum("psi").alias("psi")
     )
+    found = found.withColumn("p_value", chi_square_p_value(F.col("chi_square"), F.col("dof")))
+    return found.withColumn("drifted", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
+
+
+def mixed_drift(
+    df: DataFrame, numbers: Sequence[str], categories: Sequence[str], alpha: float = P_THRESHOLD
+) -> DataFrame:
+    """One row per column, whatever its kind: feature, test, statistic, p_value, psi, drifted. `dataset_drift` rolls
+    them up."""
+    columns = ["feature", "test", "statistic", "p_value", "psi", "drifted"]
+    made = []
+    if numbers:
+        made.append(drift_report(df, numbers, alpha=alpha).withColumn("test", F.lit("ks")).select(*columns))
+    for c in categories:
+        one = category_drift(df, c, alpha=alpha).withColumnRenamed("chi_square", "statistic")
+        made.append(one.withColumns({"feature": F.lit(c), "test": F.lit("chi_square")}).select(*columns))
+    if not made:
+        raise ValueError("no columns to compare")
+    rows = made[0]
+    for one in made[1:]:
+        rows = rows.unionByName(one)
+    return rows
 
 
 def label_drift(df: DataFrame, label: str, period: str, contract: Contract = Contract()) -> DataFrame:
@@ -217,14 +310,9 @@ def consecutive_alert(df: DataFrame, keys: Sequence[str], day: str, flag: str, d
 
 def reference_profile(df: DataFrame, columns: Sequence[str], version: str, bins: int = 10) -> DataFrame:
     """Summary of a reference table tied to a model version: moments and bin edges per column."""
-    moments = long_values(df, columns).groupBy("feature").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    cuts = exact_quantiles(df, columns, [i / bins for i in range(1, bins)]).drop("n")
+    counts = value_counts_of(df, columns)
+    moments = moments_of_counts(counts).select("feature", F.col("count").alias("n"), "mean", "std", "min", "max")
+    cuts = quantiles_of_counts(counts, [i / bins for i in range(1, bins)]).drop("n")
     edges = [F.col(f"q{i}").alias(f"edge_{i + 1}") for i in range(bins - 1)]
     return moments.join(cuts, "feature").select(F.lit(version).alias("version"), *moments.columns, *edges)
 

@@ -10,24 +10,18 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import Contract
 from tidemark.functions.exprs import equal_width_bin
-from tidemark.plans.distribution import exact_quantiles, long_values
+from tidemark.plans.distribution import moments_of_counts, quantiles_of_counts, value_counts_of
 from tidemark.plans.joins import join_small
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std, min, quartiles (interpolated) and max per column, with its type."""
-    groups = [*by, "feature"]
-    moments = long_values(df, columns, by).groupBy(*groups).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by).drop("n")
+    counts = value_counts_of(df, columns, by)
+    moments = moments_of_counts(counts, by)
+    quartiles = quantiles_of_counts(counts, [0.25, 0.5, 0.75], by).drop("n")
     named = quartiles.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
     types = F.create_map(*[F.lit(x) for c in columns for x in (c, df.schema[c].dataType.simpleString())])
-    return moments.join(named, groups).withColumn("dtype", types[F.col("feature")])
+    return moments.join(named, [*by, "feature"]).withColumn("dtype", types[F.col("feature")])
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -202,23 +202,78 @@ def entity_mix(spark, sf):
     return dr.entity_mix(_halves(spark, sf), ["user_id"])
 
 
-@query(
-    "category_drift",
-    HALVES
-    + """
+CATEGORIES = """
     , c AS (SELECT event_type, count(*) FILTER (WHERE side = 'reference')::DOUBLE AS a,
                    count(*) FILTER (WHERE side = 'current')::DOUBLE AS b FROM h GROUP BY event_type),
     t AS (SELECT *, sum(a) OVER () AS ta, sum(b) OVER () AS tb FROM c),
     x AS (SELECT *, (a + b) * ta / (ta + tb) AS ea, (a + b) * tb / (ta + tb) AS eb,
-                 greatest(a / ta, 1e-4) AS sa, greatest(b / tb, 1e-4) AS sb FROM t)
-    SELECT round(sum((a - ea) ** 2 / ea + (b - eb) ** 2 / eb), 6) AS chi_square, count(*) - 1 AS dof,
-           round(sum((sb - sa) * ln(sb / sa)), 9) AS psi FROM x
+                 greatest(a / ta, 1e-4) AS sa, greatest(b / tb, 1e-4) AS sb FROM t),
+    chi AS (SELECT sum((a - ea) ** 2 / ea + (b - eb) ** 2 / eb) AS chi, count(*) - 1 AS dof,
+                   sum((sb - sa) * ln(sb / sa)) AS psi FROM x),
+    chi_test AS (SELECT *, CASE WHEN dof = 0 THEN NULL WHEN chi <= 0 THEN 1.0::DOUBLE ELSE
+                 greatest(0.0::DOUBLE, 1.0::DOUBLE - list_sum(list_transform(range(0, 2000), lambda n:
+                   exp((dof / 2.0::DOUBLE + n) * ln(chi / 2) - chi / 2 - lgamma(dof / 2.0::DOUBLE + n + 1)))))
+                 END AS chi_p FROM chi)
+"""
+
+
+@query(
+    "category_drift",
+    HALVES
+    + CATEGORIES
+    + """
+    SELECT round(chi, 6) AS chi_square, dof, round(psi, 9) AS psi, round(chi_p, 6) AS p_value,
+           coalesce(chi_p < 0.05, false) AS drifted FROM chi_test
     """,
 )
 def category_drift(spark, sf):
     return rounded(dr.category_drift(_halves(spark, sf, "event_type"), "event_type"), 6, psi=9)
 
 
+AREA = """
+  , area AS (SELECT feature, round(coalesce(sum(abs(cum_ref::DOUBLE / n_ref - cum_cur::DOUBLE / n_cur)
+                                                * (next - value)), 0), 6) AS wasserstein FROM frame GROUP BY feature)
+"""
+REPORT = (
+    SHIFTED
+    + _frame_sql("long", "feature")
+    + _ks_sql("feature")
+    + AREA
+    + f", bins AS (SELECT * FROM (WITH unused AS (SELECT 1) {PSI.format(g='feature')}))"
+    + " SELECT result.*, psi, wasserstein FROM result JOIN bins USING (feature) JOIN area USING (feature)"
+)
+
+
+@query("drift_report", REPORT)
+def drift_report(spark, sf):
+    """Every distance of every column from one read of the table."""
+    return rounded(dr.drift_report(_shifted(spark, sf), MEASURES))
+
+
+@query("profile_drift", REPORT)
+def profile_drift(spark, sf):
+    """The same from stored counts of the reference: only the current side is read again."""
+    df = _shifted(spark, sf)
+    known = dr.reference_counts(df.where("side = 'reference'"), MEASURES, "v1")
+    return rounded(dr.drift_from_profile(known, df.where("side = 'current'"), MEASURES))
+
+
+@query(
+    "mixed_dataset_drift",
+    HALVES
+    + ", long AS (SELECT 'value' AS feature, value, side FROM h)"
+    + _frame_sql("long", "feature")
+    + _ks_sql("feature").replace("result AS", "numbers AS")
+    + CATEGORIES
+    + ", result AS (SELECT drifted FROM numbers UNION ALL SELECT coalesce(chi_p < 0.05, false) FROM chi_test)"
+    + ROLLUP,
+)
+def mixed_dataset_drift(spark, sf):
+    """A number and a class in one roll-up."""
+    sides = _halves(spark, sf, "event_type")
+    return rounded(dr.dataset_drift(dr.mixed_drift(sides, ["value"], ["event_type"])))
+
+
 @query(
     "label_drift",
     HALVES

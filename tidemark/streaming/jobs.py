@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.times import micros, watermarked
-from tidemark.operators.drift import dataset_drift, ks_drift, stack_sides
+from tidemark.operators.drift import dataset_drift, drift_from_profile, reference_counts
 from tidemark.plans.scratch import fresh_path
 
 WATERMARK = "10 minutes"
@@ -110,14 +110,15 @@ def drift_each_batch(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that compares every batch with the reference and keeps the roll-up.
 
-    Each batch writes its own folder, so a batch that runs again replaces its own result.
+    The reference is read once, for counts of its distinct values. Each batch writes its own folder, so a batch that
+    runs again replaces its own result.
     """
+    known = reference_counts(reference, columns, "stream")
 
     def compare(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        sides = stack_sides(reference, batch, columns)
-        rolled = dataset_drift(ks_drift(sides, columns)).withColumn("batch_id", F.lit(batch_id))
+        rolled = dataset_drift(drift_from_profile(known, batch, columns)).withColumn("batch_id", F.lit(batch_id))
         rolled.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return compare
