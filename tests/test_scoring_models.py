@@ -1,6 +1,9 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as md
@@ -102,3 +105,22 @@ def test_search_keeps_the_best(spark, readings):
     results, best = md.search(readings, pipeline, [{"regParam": 0.01}, {"regParam": 50.0}], "failure")
     table = md.trial_table(spark, results)
     assert table.count() == 2 and best.transform(readings).count() == 300
+
+
+def test_search_by_own_metrics(spark, readings):
+    pipeline = md.estimator("logistic", features=["temperature", "vibration"], label="failure")
+    settings = [{"regParam": 0.01}, {"regParam": 0.5}]
+    for metric in ("aucpr", "f1"):
+        results, _ = md.search(readings, pipeline, settings, "failure", metric=metric)
+        assert all(0 <= value <= 1 for _, value in results)
+    model = pipeline.fit(readings)
+    by_hand = md.holdout_report(model, readings, "failure").first()
+    assert md.TableMetric("aucpr", "failure").evaluate(model.transform(readings)) == by_hand["aucpr"]
+
+
+def test_search_by_rmse_takes_the_least(spark):
+    df = spark.createDataFrame([(float(x), 3.0 * x + 1) for x in range(60)], "x double, y double")
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"), LinearRegression(labelCol="y")])
+    results, best = md.search(df, pipeline, [{"regParam": 0.0}, {"regParam": 500.0}], "y", metric="rmse", folds=3)
+    assert results[0][1] < 1e-6 < results[1][1]
+    assert best.stages[-1].coefficients[0] == pytest.approx(3.0)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import LABEL, READINGS
-from tidemark.operators.evaluation import classification_report
+from tidemark.operators.evaluation import classification_report, regression_metrics
 from tidemark.operators.scoring import positive_probability
 
 # Default tree settings, the light variant, folds of cross validation.
 TREE_PARAMS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": 42}
 LIGHT_TREE_PARAMS = {"maxIter": 40, "maxDepth": 2, "seed": 42}
 FOLDS = 5
+TABLE_METRICS = ("aucpr", "roc_auc", "f1", "rmse")
 
 
 def _require(df: DataFrame, columns: Sequence[str]) -> None:
@@ -130,6 +131,32 @@ def sample_space(space: Mapping[str, Mapping], trials: int, seed: int = 42) -> l
     return made
 
 
+class TableMetric(Evaluator):
+    """This package's metrics as evaluator of a search: ``aucpr`` is average precision, ``f1`` at a threshold of 0.5,
+    ``rmse`` of a regression, where less is better."""
+
+    def __init__(self, metric: str, label: str):
+        super().__init__()
+        self.metric, self.label = metric, label
+
+    def isLargerBetter(self) -> bool:  # noqa: N802
+        return self.metric != "rmse"
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        if self.metric == "rmse":
+            value = regression_metrics(dataset, self.label, "prediction").first()["rmse"]
+        else:
+            scored = positive_probability(dataset).select(self.label, "score")
+            value = classification_report(scored, self.label, "score").first()[self.metric]
+        return math.nan if value is None else float(value)
+
+
+def _judge(metric: str, label: str) -> Evaluator:
+    if metric in TABLE_METRICS:
+        return TableMetric(metric, label)
+    return BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+
+
 def search(
     df: DataFrame,
     pipeline: Pipeline,
@@ -143,13 +170,12 @@ def search(
 ) -> tuple[list[tuple[dict, float]], PipelineModel]:
     """Score every setting and refit the best on all rows.
 
-    One train/validation split, or cross validation when ``folds`` is given; ``fold_column`` names a
+    ``metric`` is one of TABLE_METRICS or a name that Spark's binary evaluator knows. One train/validation split, or cross validation when ``folds`` is given; ``fold_column`` names a
     precomputed fold per row.
     """
     last: Estimator = pipeline.getStages()[-1]
     grid = [{last.getParam(k): v for k, v in s.items()} for s in settings]
-    judge = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
-    common = dict(estimator=pipeline, estimatorParamMaps=grid, evaluator=judge, parallelism=parallelism, seed=seed)
+    common = dict(estimator=pipeline, estimatorParamMaps=grid, evaluator=_judge(metric, label), parallelism=parallelism, seed=seed)
     if folds:
         tuned = CrossValidator(numFolds=folds, foldCol=fold_column, **common).fit(df)
         scores = tuned.avgMetrics

@@ -132,6 +132,29 @@ def lr_forecast(spark, sf):
     return ev.regression_metrics(model.transform(split.where("split = 'test'")), "targets", "forecast")
 
 
+@query(
+    "one_lag_forecast",
+    """
+    WITH s AS (SELECT value AS x, lead(value) OVER (PARTITION BY user_id ORDER BY ts) AS y FROM events),
+         p AS (SELECT x, y FROM s WHERE y IS NOT NULL),
+         m AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM p),
+         e AS (SELECT y - (slope * x + intercept) AS err FROM p, m)
+    SELECT round(sqrt(avg(err * err)), 6) AS rmse, round(avg(abs(err)), 6) AS mae, round(avg(err * err), 6) AS mse,
+           (SELECT round(slope, 6) FROM m) AS slope, (SELECT round(intercept, 6) FROM m) AS intercept FROM e
+    """,
+)
+def one_lag_forecast(spark, sf):
+    """The linear forecaster with one reading back and one ahead: a regression line that SQL can fit too."""
+    log = events(spark, sf).select("user_id", "ts", "value")
+    windows = written(fx.supervised_windows(log, "value", 1, 1, LOG), "windows")
+    forecaster = md.LinearForecaster.fit(windows, 1)
+    line = forecaster.models[0]
+    made = ev.regression_metrics(forecaster.transform(windows), "targets", "forecast")
+    return rounded(made.withColumns({
+        "slope": F.lit(float(line.coefficients[0])), "intercept": F.lit(float(line.intercept)),
+    }))
+
+
 FEATURES = ["value_roll_mean", "value_roll_std", "value_lag_1", "value"]
 
 

@@ -3,9 +3,10 @@
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.catalog import query
-from tidemark.contract import Contract
+from tidemark.contract import Contract, FeatureService, FeatureView
 from tidemark.operators import store as st
 from tidemark.queries.base import LOG, events, rounded
 from tidemark.session import table
@@ -47,6 +48,28 @@ def asof_join(spark, sf):
     return st.asof_join(_spine(spark, sf), [_clicks(spark, sf)], LOG, keep_feature_time=True)
 
 
+@query(
+    "historical_features",
+    SQL_SIDES
+    + """
+    SELECT s.event_id, s.user_id, s.ts,
+           CASE WHEN c.feature_ts >= s.ts - INTERVAL 6 HOUR THEN c.click_value END AS click_value, v.view_value
+    FROM s ASOF LEFT JOIN c ON s.user_id = c.user_id AND s.ts >= c.feature_ts
+           ASOF LEFT JOIN v ON s.user_id = v.user_id AND s.ts >= v.feature_ts
+    """,
+)
+def historical_features(spark, sf):
+    """Training rows for a service of two views, one of them with a time to live."""
+    kinds = {"click": timedelta(hours=6), "view": None}
+    number = {k: T.StructType([T.StructField(f"{k}_value", T.DoubleType())]) for k in kinds}
+    views = [FeatureView(k, number[k], LOG, ttl) for k, ttl in kinds.items()]
+    tables = {
+        k: _kind(spark, sf, k).select("user_id", "ts", F.col("value").alias(f"{k}_value")) for k in kinds
+    }
+    service = FeatureService("clicks_and_views", tuple(views))
+    return st.historical_features(_spine(spark, sf), tables, views, service=service, contract=LOG)
+
+
 @query(
     "asof_join_ttl",
     SQL_SIDES
