@@ -61,3 +61,12 @@ def test_odd_rows(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [
         (0, 2), (1, 0), (2, 0), *[(3, 40_000 * (len(LONG) + 1) - 1)] * 2]
     assert html_text.with_main_text(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("script", [
+    "<script>if (a<b) x(); // don't</script>", "<script><!-- var a = 1;</script>", "<style>a<b 'c</style>",
+    "<textarea>x <y \"z</textarea>",
+])
+def test_tokens_do_not_run_out_of_raw_elements(script):
+    html = f"{script}<nav>menu, menu.</nav><article><p>One</p><p>It's {LONG}</p></article><footer>{LONG} It's</footer>"
+    assert html_text.main_text(html) == f"One\nIt's {LONG}"

@@ -66,8 +66,7 @@ def leaves(html: str) -> list[Leaf]:
     out: list[Leaf] = []
     names, marks, numbers = [], [], []  # open block elements: tag, beside, number
     text: list[str] = []
-    count = raw = 0
-    raw_name = ""
+    count = 0
 
     def flush():
         if text:
@@ -81,9 +80,7 @@ def leaves(html: str) -> list[Leaf]:
         del names[at:], marks[at:], numbers[at:]
 
     at = 0
-    for tag in TOKEN.finditer(html):
-        if tag.start() < raw:
-            continue
+    while tag := TOKEN.search(html, at):
         if tag.start() > at:
             text.append(html[at : tag.start()])
         at = tag.end()
@@ -103,7 +100,7 @@ def leaves(html: str) -> list[Leaf]:
         if name in RAW:
             # nothing inside is markup: go on behind its end tag
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-            raw = at = end.end() if end else len(html)
+            at = end.end() if end else len(html)
             if name not in INLINE:
                 flush()
             continue
