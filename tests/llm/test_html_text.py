@@ -70,3 +70,21 @@ def test_odd_rows(spark):
 def test_tokens_do_not_run_out_of_raw_elements(script):
     html = f"{script}<nav>menu, menu.</nav><article><p>One</p><p>It's {LONG}</p></article><footer>{LONG} It's</footer>"
     assert html_text.main_text(html) == f"One\nIt's {LONG}"
+
+
+@pytest.mark.parametrize("name", [
+    "class='content-sidebar-wrap'", "class=sidebar-right", "class='layout-sidebar-right'", "class=main-nav-offset",
+    "id=social-impact", "class=header",
+])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_the_name_of_a_wrapper_does_not_veto_the_article(name, inner):
+    text = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p>Short.</p>"
+    beside = f"<div class=sidebar><p>{LONG}</p></div>"
+    html = f"<body>{beside}<div {name}><{inner}>{text}</{inner}><div class='ad'><p>{LONG}</p></div></div></body>"
+    assert html_text.main_text(html).split("\n") == ["Head", LONG, LONG, "Short."]
+
+
+def test_named_boxes_with_articles_of_their_own_stay_beside():
+    teasers = "".join(f"<article><p>{LONG}</p></article>" for _ in range(2))
+    html = f"<article><p>{LONG}</p><p>{LONG} {LONG}</p></article><div class=related-posts>{teasers}</div>"
+    assert html_text.main_text(html) == f"{LONG}\n{LONG} {LONG}"

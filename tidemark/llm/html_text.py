@@ -54,17 +54,18 @@ SMOOTH /= SMOOTH.sum()
 
 
 class Leaf:
-    __slots__ = ("path", "chain", "text", "beside")
+    __slots__ = ("path", "chain", "text", "beside", "named")
 
-    def __init__(self, path: str, chain: tuple[int, ...], text: str, beside: bool):
-        self.path, self.chain, self.text, self.beside = path, chain, text, beside
+    def __init__(self, path: str, chain: tuple[int, ...], text: str, beside: bool, named: tuple[int, ...] = ()):
+        self.path, self.chain, self.text, self.beside, self.named = path, chain, text, beside, named
 
 
 def leaves(html: str) -> list[Leaf]:
-    """Text blocks in page order, each with its tag path, the elements above it, and whether one of them stands beside
-    the article. Inline elements and line breaks do not end a block. Unclosed elements end with their parent."""
+    """Text blocks in page order, each with its tag path, the elements above it, whether a tag of those stands beside the
+    article (or is hidden), and which of them only bear the name of a box beside it. Inline elements and line breaks do not end a block. Unclosed elements end with their parent."""
     out: list[Leaf] = []
     names, marks, numbers = [], [], []  # open block elements: tag, beside, number
+    named: list[int] = []  # numbers of those with a name of a box beside
     text: list[str] = []
     count = 0
 
@@ -73,10 +74,12 @@ def leaves(html: str) -> list[Leaf]:
             block = " ".join(unescape("".join(text)).split())
             text.clear()
             if block:
-                out.append(Leaf("/".join(names), tuple(numbers), block, any(marks)))
+                out.append(Leaf("/".join(names), tuple(numbers), block, any(marks), tuple(named)))
 
     def close(at):
         flush()
+        while named and named[-1] >= numbers[at]:
+            named.pop()
         del names[at:], marks[at:], numbers[at:]
 
     at = 0
@@ -131,16 +134,18 @@ def leaves(html: str) -> list[Leaf]:
         said = " ".join((m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(tag[3])).split()
         said = [w for w in said if not LAYOUT.match(w)]
         inner = "article" in names or "main" in names
-        top = not inner and (name == "header" or "header" in said)
-        beside = name in APART or top or any(map(BESIDE.search, said)) or bool(HIDDEN.search(tag[3]))
+        beside = name in APART or (not inner and name == "header") or bool(HIDDEN.search(tag[3]))
+        called = any(map(BESIDE.search, said)) or (not inner and "header" in said)
         if name in ("html", "body", "main", "article"):
-            beside = False
+            beside = called = False
         if name == "body" and "head" in names:
             close(names.index("head"))
         count += 1
         names.append(name)
         marks.append(beside)
         numbers.append(count)
+        if called:
+            named.append(count)
     if at < len(html):
         rest = html[at:]
         cut = rest.rfind("<")
@@ -191,6 +196,51 @@ def _article(inside: Sequence[Leaf], weight: dict[int, float], total: float) ->
     return chosen
 
 
+def _content_paths(found: Sequence[Leaf], share: float) -> set[str]:
+    """Paths whose mean fused score reaches ``share`` of the deviation of all scores."""
+    score = path_scores(found)
+    paths: dict[str, list[float]] = {}
+    for leaf, s in zip(found, score):
+        paths.setdefault(leaf.path, []).append(s)
+    level = share * score.std()
+    return {p for p, s in paths.items() if np.mean(s) >= level}
+
+
+def _without_named(found: Sequence[Leaf], share: float) -> list[Leaf]:
+    """The blocks outside boxes with the name of a box beside the article.
+
+    A name halves the weight of the content below it. A box counts in spite of its name if an article or main element
+    with much of the content is inside, or if it still outweighs all content outside it and no such element stands apart.
+    """
+    if not any(x.named for x in found):
+        return list(found)
+    good = _content_paths(found, share)
+    total = 0.0
+    inside: dict[int, float] = {}
+    articles: dict[int, float] = {}
+    above: dict[int, tuple[int, ...]] = {}
+    joined: dict[int, set[int]] = {}  # articles around or inside a named box
+    for x in found:
+        if x.path not in good:
+            continue
+        weight = len(x.text) * 0.5 ** len(x.named)
+        total += weight
+        for n in x.named:
+            inside[n] = inside.get(n, 0.0) + weight
+        for n, tag in zip(x.chain, x.path.split("/")):
+            if tag in ("article", "main"):
+                articles[n] = articles.get(n, 0.0) + weight
+                above[n] = tuple(k for k in x.named if k < n)
+                for k in x.named:
+                    joined.setdefault(k, set()).add(n)
+    spared = {n for n, weight in inside.items() if weight > total - weight and len(joined.get(n, ())) == len(articles)}
+    most = max(articles.values(), default=0.0)
+    for n, weight in articles.items():
+        if 2 * weight > most:
+            spared.update(above[n])
+    return [x for x in found if spared.issuperset(x.named)]
+
+
 def main_text(html: str | None, share: float = 0.25) -> str:
     """The article's blocks, one per line.
 
@@ -198,8 +248,8 @@ def main_text(html: str | None, share: float = 0.25) -> str:
     if its mean fused score reaches ``share`` of the deviation of all scores; the article is the deepest element that
     holds most of the content found, and every block inside it that does not stand beside it is part of the text.
     """
-    found = leaves(html) if html else []
-    inside = [x for x in found if not x.beside]
+    found = [x for x in leaves(html) if not x.beside] if html else []
+    inside = _without_named(found, share) if found else []
     if not inside:
         return ""
     score = path_scores(inside)
