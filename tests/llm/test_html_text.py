@@ -72,6 +72,15 @@ def test_tokens_do_not_run_out_of_raw_elements(script):
     assert html_text.main_text(html) == f"One\nIt's {LONG}"
 
 
+@pytest.mark.parametrize("tag", ["div class=part", "article", "section"])
+def test_content_in_a_second_box_stays(tag):
+    first, second = [f"{i} {LONG}" for i in range(13)], [f"{i} {LONG}" for i in range(13, 20)]
+    box = lambda ps: f"<{tag}><h2>Part</h2>" + "".join(f"<p>{p}</p>" for p in ps) + f"<ul><li>x</ul><p>{LONG}</p></{tag.split()[0]}>"
+    html = f"<body><div id=page><ul><li>Home<li>Contact</ul>{box(first)}{box(second)}<table><tr><td>a<td>b</table></div></body>"
+    want = ["Part", *first, "x", LONG, "Part", *second, "x", LONG]
+    assert html_text.main_text(html).split("\n") == want
+
+
 @pytest.mark.parametrize("name", [
     "class='content-sidebar-wrap'", "class=sidebar-right", "class='layout-sidebar-right'", "class=main-nav-offset",
     "id=social-impact", "class=header",

@@ -244,33 +244,44 @@ def _without_named(found: Sequence[Leaf], share: float) -> list[Leaf]:
 def main_text(html: str | None, share: float = 0.25) -> str:
     """The article's blocks, one per line.
 
-    Blocks in elements beside the article (menus, notices, adverts, forms and the like) have no score. A path is content
-    if its mean fused score reaches ``share`` of the deviation of all scores; the article is the deepest element that
-    holds most of the content found, and every block inside it that does not stand beside it is part of the text.
+    Blocks in elements whose tag says that they stand beside the article (menus, forms and the like) or that are hidden
+    have no score, nor have boxes with such a name (see _without_named). A path is content if its mean fused score
+    reaches ``share`` of the deviation of all scores, and all its blocks are part of the text wherever they stand. Of the
+    other blocks, a box that directly holds content, or the element that is the article, adds those between its content
+    and the headings before; a page without any such box adds its headings.
     """
     found = [x for x in leaves(html) if not x.beside] if html else []
     inside = _without_named(found, share) if found else []
     if not inside:
         return ""
-    score = path_scores(inside)
-    level = share * score.std()
-    paths: dict[str, list[float]] = {}
-    for leaf, s in zip(inside, score):
-        paths.setdefault(leaf.path, []).append(s)
-    good = {p for p, s in paths.items() if np.mean(s) >= level}
+    good = _content_paths(inside, share)
+    content = [x.path in good for x in inside]
     weight: dict[int, float] = {}
     total = 0.0
-    for leaf in inside:
-        if leaf.path in good:
+    for leaf, is_good in zip(inside, content):
+        if is_good:
             total += len(leaf.text)
             for number in leaf.chain:
                 weight[number] = weight.get(number, 0.0) + len(leaf.text)
     article = _article(inside, weight, total)
-    if article is None:
-        # no element of its own: blocks of content paths, and headings
-        kept = [x for x in inside if x.path in good or x.path.rsplit("/", 1)[-1] in HEADINGS]
-    else:
-        kept = [x for x in inside if article in x.chain]
+    boxes = {article}
+    span: dict[int, list[int]] = {}  # first and last content block of an element
+    for at, (x, is_good) in enumerate(zip(inside, content)):
+        if is_good:
+            tags = x.path.split("/")
+            if len(tags) > 1 and tags[-2] not in ("html", "body"):
+                boxes.add(x.chain[-2])
+            for n in x.chain:
+                span.setdefault(n, [at, at])[1] = at
+    kept = []
+    for at, (x, is_good) in enumerate(zip(inside, content)):
+        heading = x.path.rsplit("/", 1)[-1] in HEADINGS
+        if is_good or (heading and article is None):
+            kept.append(x)
+            continue
+        around = [span[n] for n in x.chain if n in boxes and n in span]
+        if any(at < last and (heading or first < at) for first, last in around):
+            kept.append(x)
     return "\n".join(x.text for x in kept)
 
 
