@@ -74,3 +74,13 @@ def test_odd_rows_and_empty_tables(spark, table, odd_documents, no_documents):
     clean = decontam.clean_documents(odd_documents, table("benchmark").where("false"))
     assert clean.columns == odd_documents.columns and clean.count() == odd_documents.count()
     assert decontam.contamination(no_documents, table("benchmark")).count() == 0
+
+
+def test_items_without_an_id_are_searched(spark):
+    docs = spark.createDataFrame([(1, "has delta in it"), (2, "gamma and delta"), (3, "none")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "Delta"), ("5", "gamma")], "item_id string, text string")
+    want = {1: ([(1, 2)], []), 2: ([(0, 1), (2, 3)], ["5"]), 3: ([], [])}
+    for limit in (decontam.BLOCK_BYTES, 1):
+        found = decontam.contamination(docs, items, unnamed=True, block_bytes=limit).collect()
+        assert {r.doc_id: ([tuple(s) for s in r.hit_spans], r.item_ids) for r in found} == want
+    assert [r.doc_id for r in decontam.clean_documents(docs, items, unnamed=True).collect()] == [3]

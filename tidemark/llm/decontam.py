@@ -23,7 +23,7 @@ BLOCK_BYTES = 4 << 20
 STEP = np.uint64(0xA24BAED4963EE407)
 
 
-def windows_of(items: Sequence[tuple[str, str]], width: int) -> dict[int, dict[bytes, list[int]]]:
+def windows_of(items: Sequence[tuple[str | None, str]], width: int) -> dict[int, dict[bytes, list[int]]]:
     """By length in words: every window (lower-cased words with a blank between) and the items it comes from."""
     out: dict[int, dict[bytes, list[int]]] = {}
     for number, (_, text) in enumerate(items):
@@ -116,10 +116,10 @@ class WuManber:
 
 
 #: the searchers of the last block that a Python worker has seen
-_ready: dict[str, tuple[list[str], list[WuManber]]] = {}
+_ready: dict[str, tuple[list[str | None], list[WuManber]]] = {}
 
 
-def _searchers(key: str, sent: Broadcast, width: int) -> tuple[list[str], list[WuManber]]:
+def _searchers(key: str, sent: Broadcast, width: int) -> tuple[list[str | None], list[WuManber]]:
     if key not in _ready:
         items = sent.value
         _ready.clear()
@@ -127,11 +127,13 @@ def _searchers(key: str, sent: Broadcast, width: int) -> tuple[list[str], list[W
     return _ready[key]
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of about ``limit`` bytes, each fetched when its turn comes and at least one in all; null ids
-    and texts drop out. A single longer item is a block of its own or shares one."""
+def item_blocks(
+    benchmark: DataFrame, id_col: str, text: str, limit: int, unnamed: bool = False
+) -> Iterator[list[tuple[str | None, str]]]:
+    """The items in blocks of about ``limit`` bytes, each fetched when its turn comes and at least one in all; null
+    texts drop out, null ids unless ``unnamed``. A single longer item is a block of its own or shares one."""
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text).alias("t"))
-    items = items.where("i is not null and t is not null").distinct()
+    items = items.where("t is not null" if unnamed else "i is not null and t is not null").distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     count = max(1, -(-total // limit))
     part = F.pmod(F.xxhash64("t"), F.lit(count))
@@ -149,7 +151,7 @@ FOUND = [
 
 
 def search_block(
-    docs: DataFrame, items: Sequence[tuple[str, str]], width: int, keep: Sequence[str], text: str
+    docs: DataFrame, items: Sequence[tuple[str | None, str]], width: int, keep: Sequence[str], text: str
 ) -> DataFrame:
     """``keep`` columns plus n_words, hit_spans and item_ids for the windows of one block of items."""
     sent, key = docs.sparkSession.sparkContext.broadcast(list(items)), uuid.uuid4().hex
@@ -168,7 +170,7 @@ def search_block(
             np.add.at(change, first + one.size, -1)
             owner = np.searchsorted(words.bounds, first, side="right") - 1
             for doc, (_, window) in zip(owner.tolist(), hits):
-                hit_items.setdefault(doc, set()).update(ids[i] for i in one.patterns[window])
+                hit_items.setdefault(doc, set()).update(ids[i] for i in one.patterns[window] if ids[i] is not None)
         inside = np.cumsum(change)[:-1] > 0
         # runs of hit words; a run ends with its document
         edge = np.zeros(len(inside) + 1, bool)
@@ -200,7 +202,7 @@ def merged_hits(hits: DataFrame, key: str) -> DataFrame:
     spans = spans.withColumn("__run", F.sum("__new").over(by_first.rowsBetween(Window.unboundedPreceding, 0)))
     runs = spans.groupBy(key, "__run").agg(F.min("first").alias("first"), F.max("end").alias("end"))
     runs = runs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "end"))).alias("hit_spans"))
-    ids = hits.select(key, F.explode("item_ids").alias("i")).groupBy(key)
+    ids = hits.select(key, F.explode_outer("item_ids").alias("i")).groupBy(key)
     return runs.join(ids.agg(F.array_sort(F.collect_set("i")).alias("item_ids")), key)
 
 
@@ -213,6 +215,7 @@ def contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    unnamed: bool = False,
 ) -> DataFrame:
     """``keep`` columns plus n_words, hit_spans and item_ids for every document.
 
@@ -225,12 +228,13 @@ def contamination(
     holds two blocks; at the end the hits go back to the documents by the text's SHA-256. Every window is searched in
     every document at any size.
 
-    Null and empty texts have no words and no hits; an empty benchmark hits nothing; items without id or words are left
-    out; repeated items count once. Kept columns of the same name as a result column give way to it.
+    Null and empty texts have no words and no hits; an empty benchmark hits nothing; items without words are left out;
+    items without id too unless ``unnamed``, when their windows count in hit_spans and only item_ids goes without them;
+    repeated items count once. Kept columns of the same name as a result column give way to it.
     """
     made = [f.name for f in FOUND]
     keep = [c for c in keep if c not in made]
-    blocks = item_blocks(benchmark, item_id, item_text, block_bytes)
+    blocks = item_blocks(benchmark, item_id, item_text, block_bytes, unnamed)
     first, second = next(blocks), next(blocks, None)
     if second is None:
         return search_block(docs, first, width, keep, text)

@@ -96,7 +96,7 @@ HIT_SQL = r"""
 
 @query("op8_wu_manber", HIT_SQL)
 def op8(spark, sf):
-    found = decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    found = decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), unnamed=True)
     length = lambda s: s["end"] - s["first"]
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + length(s))
     return found.select(
