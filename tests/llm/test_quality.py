@@ -77,3 +77,15 @@ def test_odd_rows(spark, table, odd_documents, no_documents):
     assert quality.quality_scores(no_documents, labels).count() == 0
     kept = quality.good_documents(odd_documents, labels.where("false"))
     assert kept.columns == odd_documents.columns and kept.count() == odd_documents.count()
+
+
+def test_each_row_is_judged_by_its_own_text(spark, table):
+    docs, labels = table("documents"), table("labels")
+    predicted = {r.doc_id: r.predicted for r in quality.quality_scores(docs, labels).collect()}
+    bad, good = (next(d for d, p in sorted(predicted.items()) if p == want) for want in (0, 1))
+    texts = {r.doc_id: r.text for r in docs.where(docs["doc_id"].isin(bad, good)).collect()}
+    # ids that no label names: the fitted model stays the same
+    extra = [(None, texts[bad]), (None, texts[good]), (-5, texts[bad]), (-5, texts[good])]
+    more = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    kept = [(r.doc_id, r.text) for r in quality.good_documents(more, labels).collect()]
+    assert sorted((d or 0, t) for d, t in kept if d is None or d == -5) == [(-5, texts[good]), (0, texts[good])]

@@ -231,6 +231,15 @@ def scored(rows: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:
     return rows.select(*keep, "statistics").mapInArrow(run, schema)
 
 
+def _scores(each: DataFrame, labels: DataFrame, keep: Sequence[str], id_col: str, label: str) -> DataFrame:
+    """``keep`` columns of ``each`` (doc_id, __t and others) and the score, by a model fitted on its labelled rows."""
+    each = written(with_statistics(each, keep, "__t"), "statistics")
+    known = labels.select(F.col(id_col).alias("__id"), F.col(label).cast("double").alias("label"))
+    known = known.where(F.col("label").isNotNull() & (fold(F.col("__id")) != 0))
+    train = written(each.join(known, each["doc_id"] == known["__id"]).select("statistics", "label"), "train")
+    return scored(each, fit(train), keep)
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -246,11 +255,7 @@ def quality_scores(
     are skipped; repeated labels weigh as often as they stand there. Without any label every score is 0.5.
     """
     each = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("__t"))
-    each = written(with_statistics(each, ["doc_id"], "__t"), "statistics")
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label).cast("double").alias("label"))
-    known = known.where(F.col("label").isNotNull() & (fold(F.col("__id")) != 0))
-    train = written(each.join(known, each["doc_id"] == known["__id"]).select("statistics", "label"), "train")
-    out = scored(each, fit(train), ["doc_id"])
+    out = _scores(each, labels, ["doc_id"], id_col, label)
     return out.select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
@@ -259,11 +264,22 @@ def quality_scores(
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject.
+def good_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = 0.3,
+    id_col: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, each judged by its own text.
 
-    Rejected ids are taken out by an anti join; rows without an id cannot be named and stay.
+    Rows get a key that is written with them, so rows without an id and different texts under one id are told apart.
     """
-    rejected = quality_scores(docs, labels, **options).where("predicted = 0").select(F.col("doc_id").alias("__no"))
-    rejected = rejected.where("__no is not null").distinct()
-    return docs.join(rejected, docs["doc_id"] == rejected["__no"], "left_anti")
+    names = {c: f"__doc{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    inner = written(inner.withColumn("row", F.monotonically_increasing_id()), "rows")
+    each = inner.select("row", F.col(names[id_col]).alias("doc_id"), F.col(names[text]).alias("__t"))
+    rejected = _scores(each, labels, ["row", "doc_id"], id_col, label).where(~(F.col("score") >= threshold))
+    kept = inner.join(written(rejected.select("row"), "rejected"), "row", "left_anti")
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
