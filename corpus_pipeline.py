@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, mixing, near_copies, quality, sharding, simhash
+from tidemark.llm import decontam, mixing, quality, sharding, simhash
 from tidemark.plans.scratch import written
 from tidemark.session import table
 
@@ -17,16 +17,10 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every SimHash group under op5's rule (three words, two bits). No stage:
-    near copies of Jaccard similarity 0.8 differ in more bits."""
+    """The document with the smallest doc_id of every SimHash group: three words, at most two differing bits."""
     return simhash.one_of_each(docs)
 
 
-def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every group of near copies: five-word shingles, Jaccard 0.8 or more."""
-    return near_copies.one_of_each(docs)
-
-
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs, items without an id included."""
     return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
@@ -47,12 +41,12 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", good),
-    ("SimHash near-dedup", near_unique),
+    ("SimHash near-dedup", unique),
     ("benchmark decontamination", clean),
     ("mixing sources to target weights", mixed),
     ("sharding", sharded),
 ]
-#: fingerprints, the fitted classifier and checksums have no SQL; tests hold run() against a plain Python version
+#: fingerprints, the fitted classifier and checksums have no SQL; tests hold every stage against a plain Python version
 ORACLE_SQL = None
 
 
