@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, html_text, mixing, quality, repeats, sharding, simhash, urls, vectors, warc
+from tidemark.llm import (
+    codes,
+    decontam,
+    html_text,
+    mixing,
+    quality,
+    ranked,
+    repeats,
+    sharding,
+    simhash,
+    urls,
+    vectors,
+    warc,
+)
 from tidemark.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +183,65 @@ def op2(spark, sf):
 @query("op10_suffix_repeats")
 def op10(spark, sf):
     return repeats.remove_repeats(table(spark, sf, "documents"))
+
+
+@query("op11_bag_search", r"""
+  WITH d AS (SELECT doc_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+  i AS (SELECT item_id, word, count(*)::BIGINT AS times
+        FROM (SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word FROM benchmark) GROUP BY ALL),
+  n AS (SELECT doc_id, len(words)::BIGINT AS n FROM d WHERE len(words) > 0),
+  g AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM n),
+  t AS (SELECT doc_id, word, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(words) AS word FROM d)
+        WHERE word IN (SELECT word FROM i) GROUP BY ALL),
+  w AS (SELECT word, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM t, g GROUP BY word),
+  s AS (SELECT item_id, doc_id,
+               sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // length)))))::BIGINT
+                 AS score
+        FROM t JOIN w USING (word) JOIN n USING (doc_id) JOIN i USING (word), g GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+  SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10
+""")
+def op11(spark, sf):
+    return ranked.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    steps = [f"""k AS MATERIALIZED (
+      SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    x AS MATERIALIZED (
+      SELECT vec_id, label, part, list_slice(v, 1 + part * (len(v) // {parts}), (part + 1) * (len(v) // {parts})) AS x
+      FROM k, (SELECT unnest(range({parts})) AS part)),
+    c0 AS MATERIALIZED (
+      SELECT part, x AS c, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM x
+      QUALIFY entry < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+      SELECT vec_id, part, any_value(label) AS label, any_value(x) AS x, arg_min(entry, (far, entry)) AS entry,
+             min(far) AS far
+      FROM (SELECT x.*, entry, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) ** 2))::BIGINT AS far
+            FROM x JOIN c{r} USING (part)) GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS MATERIALIZED (
+      SELECT part, entry, list(floor(total::DOUBLE / n)::BIGINT ORDER BY i) AS c
+      FROM (SELECT part, entry, i, sum(x[i]) AS total, count(*) AS n
+            FROM a{r}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY ALL) GROUP BY part, entry),
+    c{r + 1} AS MATERIALIZED (
+      SELECT part, entry, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN m{r} m USING (part, entry))""")
+    return "WITH " + ",\n    ".join(steps) + f""",
+    s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+          FROM c{rounds}),
+    e AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+                 sum(far)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM e, s"""
+
+
+@query("op12_ball_codes", _codes_sql())
+def op12(spark, sf):
+    return codes.code_report(table(spark, sf, "embeddings"))
