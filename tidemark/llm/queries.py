@@ -17,6 +17,7 @@ from tidemark.llm import (
     repeats,
     sharding,
     simhash,
+    toxicity,
     urls,
     vectors,
     warc,
@@ -245,3 +246,8 @@ def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
 @query("op12_ball_codes", _codes_sql())
 def op12(spark, sf):
     return codes.code_report(table(spark, sf, "embeddings"))
+
+
+@query("op13_kneser_ney_toxicity")
+def op13(spark, sf):
+    return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
