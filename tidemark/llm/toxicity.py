@@ -25,7 +25,9 @@ HELD = 2
 PRIOR_WORDS = 100
 BINS = 4000
 BLOCK_BYTES = 32 << 20
-ENTRY_BYTES = 32
+ENTRY_BYTES = 64
+#: labelled texts up to this number are sent to where the texts are; more are met by a shuffle
+SENT_LABELS = 1 << 21
 #: models: learned from the texts of half 1, of half 0, and from all
 MODELS = 3
 COUNTS = ("o0", "o1", "t0", "t1")
@@ -107,14 +109,15 @@ def _length(gram: Column) -> Column:
 
 def _beyond(a: Column, b: Column, all_a: Column, all_b: Column) -> Column:
     """Likelihood ratio (twice its logarithm) of the counts against a share in ``a`` of FACTOR times that in ``b``."""
-    share = all_a * FACTOR / (all_a * FACTOR + all_b)
+    share = F.try_divide(all_a * FACTOR, all_a * FACTOR + all_b)
     want_a, want_b = (a + b) * share, (a + b) * (1 - share)
-    part = lambda n, want: F.when(n > 0, n * F.log(n / want)).otherwise(0.0)
+    part = lambda n, want: F.when(n > 0, n * F.log(F.try_divide(n.cast("double"), want))).otherwise(0.0)
     return F.when(a > want_a, 2 * (part(a, want_a) + part(b, want_b))).otherwise(0.0)
 
 
 def kept_expressions(grams: DataFrame) -> DataFrame:
-    """(model, gram, llr): the expressions whose Kneser-Ney probabilities differ between the classes beyond chance.
+    """(gram, llr0, llr1, llr2): the expressions whose Kneser-Ney probabilities differ between the classes beyond chance,
+    in the models learned from the texts of half 1, of half 0 and from all; null where they do not.
 
     The longest contexts use counts, shorter ones the number of different bytes in front (Kneser-Ney); contexts that
     begin with a word have nothing in front and keep their counts. Each order takes DISCOUNT off every count and hands it
@@ -122,52 +125,45 @@ def kept_expressions(grams: DataFrame) -> DataFrame:
     too rare to tell the classes apart is left to its shorter contexts, at the end to the shared counts, where the
     classes do not differ. One row per context and byte, never more than 256 a context, is ordered in one task.
     """
-    both = {0: ("o1", "t1"), 1: ("o0", "t0"), 2: ("o0 + o1", "t0 + t1")}
-    models = F.array(*[F.struct(F.lit(m).alias("model"), F.expr(o).alias("o"), F.expr(t).alias("t"))
-                       for m, (o, t) in both.items()])
-    raw = grams.select("gram", F.inline(models)).where("o + t > 0").withColumn("n", _length(F.col("gram")))
-    raw = written(raw, "grams")
+    from_halves = {"o0": "o1", "t0": "t1", "o1": "o0", "t1": "t0", "o2": "o0 + o1", "t2": "t0 + t1"}
+    counts = list(from_halves)
+    raw = grams.select("gram", *[F.expr(x).alias(c) for c, x in from_halves.items()], _length(F.col("gram")).alias("n"))
     levels = {}
     for n in range(ORDER, 0, -1):
-        level = raw.where(F.col("n") == n).select("model", "gram", "o", "t")
+        level = raw.where(F.col("n") == n).select("gram", *counts)
         if n < ORDER:
             shorter = F.col("gram").bitwiseAND((1 << 8 * n) - 1).alias("gram")
-            longer = levels[n + 1].select(
-                "model", shorter, (F.col("o") > 0).cast("long").alias("o"), (F.col("t") > 0).cast("long").alias("t"))
-            level = level.union(longer).groupBy("model", "gram").agg(F.sum("o").alias("o"), F.sum("t").alias("t"))
+            longer = levels[n + 1].select(shorter, *[(F.col(c) > 0).cast("long").alias(c) for c in counts])
+            level = level.union(longer).groupBy("gram").agg(*[F.sum(c).alias(c) for c in counts])
         levels[n] = written(level, f"level-{n}")
     below = kept = None
     for n in range(1, ORDER + 1):
-        context = Window.partitionBy("model", "context")
-        level = levels[n].withColumn("context", F.shiftright("gram", 8))
-        level = level.withColumns({
-            "all_o": F.sum("o").over(context), "all_t": F.sum("t").over(context),
-            "kinds_o": F.sum((F.col("o") > 0).cast("long")).over(context),
-            "kinds_t": F.sum((F.col("t") > 0).cast("long")).over(context),
-        })
-        if n == 1:
-            shared = (F.col("o") + F.col("t")) / (F.col("all_o") + F.col("all_t"))
-            level = level.withColumns({"back_o": shared, "back_t": shared})
-        else:
-            level = level.withColumn("shorter", F.col("gram").bitwiseAND((1 << 8 * (n - 1)) - 1))
-            level = level.join(below, ["model", "shorter"])
-
-        def smoothed(c):
-            own = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"all_{c}")
-            rest = DISCOUNT * F.col(f"kinds_{c}") / F.col(f"all_{c}") * F.col(f"back_{c}")
-            return F.when(F.col(f"all_{c}") > 0, own + rest).otherwise(F.col(f"back_{c}"))
-
-        level = level.withColumns({"p_o": smoothed("o"), "p_t": smoothed("t")})
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        level = levels[n].withColumns({f"all_{c}": F.sum(c).over(context) for c in counts})
+        level = level.withColumns({f"kinds_{c}": F.sum((F.col(c) > 0).cast("long")).over(context) for c in counts})
         if n > 1:
-            cols = [F.col(c).cast("double") for c in ("t", "o", "all_t", "all_o")]
-            t, o, all_t, all_o = cols
+            level = level.withColumn("shorter", F.col("gram").bitwiseAND((1 << 8 * (n - 1)) - 1)).join(below, "shorter")
+        made = {}
+        for m in range(MODELS):
+            o, t = F.col(f"o{m}"), F.col(f"t{m}")
+            all_o, all_t = F.col(f"all_o{m}").cast("double"), F.col(f"all_t{m}").cast("double")
+            shared = F.try_divide((o + t).cast("double"), all_o + all_t)
+
+            def smoothed(c, every):
+                back = F.col(f"back_{c}") if n > 1 else shared
+                kept_back = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(f"kinds_{c}") * back
+                return F.coalesce(F.try_divide(kept_back, every), back)
+
+            made[f"p_o{m}"], made[f"p_t{m}"] = smoothed(f"o{m}", all_o), smoothed(f"t{m}", all_t)
             apart = F.greatest(_beyond(t, o, all_t, all_o), _beyond(o, t, all_o, all_t)) > CHANCE
-            level = level.withColumn("llr", F.when(apart & (all_t > 0) & (all_o > 0), F.log(F.col("p_t") / F.col("p_o"))))
-        else:
-            level = level.withColumn("llr", F.lit(None).cast("double"))
-        level = written(level.select("model", "gram", "p_o", "p_t", "llr"), f"smoothed-{n}")
-        below = level.select("model", F.col("gram").alias("shorter"), F.col("p_o").alias("back_o"), F.col("p_t").alias("back_t"))
-        some = level.where("llr is not null").select("model", "gram", "llr")
+            apart = apart & (all_t > 0) & (all_o > 0) & F.lit(n > 1)
+            made[f"llr{m}"] = F.when(apart, F.log(F.col(f"p_t{m}") / F.col(f"p_o{m}")))
+        level = level.withColumns({c: x for c, x in made.items() if c[0] == "p"})
+        level = level.withColumns({c: x for c, x in made.items() if c[0] == "l"})
+        level = written(level.select("gram", *made), f"smoothed-{n}")
+        below = level.select(F.col("gram").alias("shorter"), *[F.col(f"p_{c}").alias(f"back_{c}") for c in counts])
+        ratios = [f"llr{m}" for m in range(MODELS)]
+        some = level.where(F.coalesce(*ratios).isNotNull()).select("gram", *ratios)
         kept = some if kept is None else kept.union(some)
     return written(kept, "kept-expressions")
 
@@ -176,9 +172,10 @@ class Spelling:
     """The kept expressions of all models; what a word adds to the log-likelihood ratio of each."""
 
     def __init__(self, rows: Sequence[tuple]):
+        """Rows are (gram, ratio in each model or None)."""
         self.tables = []
         for model in range(MODELS):
-            of = sorted((g, llr) for m, g, llr in rows if m == model)
+            of = sorted((r[0], r[1 + model]) for r in rows if r[1 + model] is not None)
             self.tables.append((np.array([g for g, _ in of], np.int64), np.array([x for _, x in of], float)))
 
     def words(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -283,15 +280,17 @@ def toxicity_scores(
     probability by isotonic regression. That is fitted on ratios from models that have not seen the text: each half of
     the texts is looked at with what the other half taught; scores come from the model of both halves.
 
-    All labelled rows outside the held fold teach; counts grow with the corpus, and only expressions that tell the
-    classes apart come to the tasks, block by block. Labels other than 0 and 1 and rows without an id teach nothing;
+    All labelled rows outside the held fold teach, and counts grow with the corpus. Labels are counted first: up to
+    SENT_LABELS (about 64 MB) they are broadcast, more of them are joined by a shuffle of the labelled texts. Only
+    expressions that tell the classes apart come to the tasks that score, block by block. Labels other than 0 and 1 and rows without an id teach nothing;
     a null id is never held out; repeated rows teach as often as they stand there. Null and empty texts have the score
     of a text without evidence. Without labels every score is 0.
     """
     each = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("__t"))
     training = _training(each, labels, id_col, label)
     kind = (F.col("label") * 2 + F.pmod("h", F.lit(2))).cast("int").alias("kind")
-    texts = each.withColumn("h", F.xxhash64("__t")).join(training, ["doc_id", "h"])
+    sent = F.broadcast(training) if training.count() <= SENT_LABELS else training
+    texts = each.withColumn("h", F.xxhash64("__t")).join(sent, ["doc_id", "h"])
     words = written(word_counts(texts.select(F.col("__t").alias("text"), kind)), "words")
     kept = kept_expressions(written(expressions(words), "expressions"))
     scored = likelihoods(each.withColumn("h", F.xxhash64("__t")), kept, ["doc_id", "h"], block_bytes)
