@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros, watermarked
+from tidemark.plans.scratch import written
 
 # Histogram bounds, evaluation window and step, rate floor, prediction baseline, alert rules.
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
@@ -22,6 +23,8 @@ SHIFT_WINDOW = timedelta(minutes=30)
 RATE_FLOOR = 1.0
 PREDICTION_BASELINE, PREDICTION_TOLERANCE = 0.30, 0.20
 TIME = "ts"
+#: the model of rules over all models
+EVERY_MODEL = "*"
 
 
 @dataclass(frozen=True)
@@ -34,8 +37,8 @@ class AlertRule:
     limit: float
     hold: timedelta
 
-    def condition(self) -> Column:
-        x = F.col(self.measure)
+    def condition(self, measured: Column | None = None) -> Column:
+        x = F.col(self.measure) if measured is None else measured
         return F.coalesce(x > self.limit if self.above else x < self.limit, F.lit(False))
 
 
@@ -93,20 +96,37 @@ def windowed_sums(
 ) -> DataFrame:
     """Sums per group over sliding windows, one row per group and evaluation tick (the window end).
 
-    A table is first summed per step, so that only those few rows, not the log, are copied into the
-    overlapping windows. A stream is summed directly, with late rows cut off by the watermark.
+    The log is first summed per step, so that only those few rows, not the log, are copied into the overlapping
+    windows; in a stream the two sums are chained, and late rows are cut off by the watermark.
     """
-    names = list(measures)
-    rows = log.withColumns(dict(measures)).select(*by, TIME, *names)
-    sums = [F.sum(n).alias(n) for n in names]
     kind = log.schema[TIME].dataType
-    if log.isStreaming:
-        rows = watermarked(rows, TIME, watermark) if watermark else rows
-    elif window > step and (window / step).is_integer():
-        cells = rows.groupBy(*by, F.window(TIME, _text(step)).alias("__cell")).agg(*sums)
-        rows = cells.select(*by, F.col("__cell.start").alias(TIME), *names)
+    if window > step and (window / step).is_integer():
+        cells = step_sums(log, measures, by, step, watermark)
+    else:
+        cells = log.withColumns(dict(measures)).select(*by, TIME, *measures)
+        cells = watermarked(cells, TIME, watermark) if watermark and log.isStreaming else cells
+    sums = sliding_sums(cells, list(measures), by, window, step)
+    return sums.withColumn("tick", F.col("tick").cast(kind))
+
+
+def step_sums(
+    log: DataFrame, measures: Mapping[str, Column], by: Sequence[str], step: timedelta, watermark: str | None = None
+) -> DataFrame:
+    """Sums per group and step; the time of a step is a moment inside it."""
+    rows = log.withColumns(dict(measures)).select(*by, TIME, *measures)
+    rows = watermarked(rows, TIME, watermark) if watermark and log.isStreaming else rows
+    cells = rows.groupBy(*by, F.window(TIME, _text(step)).alias("__cell")).agg(*[F.sum(n).alias(n) for n in measures])
+    inside = F.window_time("__cell") if log.isStreaming else F.col("__cell.start")
+    return cells.select(*by, inside.alias(TIME), *measures)
+
+
+def sliding_sums(
+    cells: DataFrame, names: Sequence[str], by: Sequence[str], window: timedelta, step: timedelta
+) -> DataFrame:
+    """Sums per group and window over step sums, with the window's end as ``tick``."""
     sliding = F.window(TIME, _text(window), _text(step)).alias("__w")
-    return rows.groupBy(*by, sliding).agg(*sums).select(*by, F.col("__w.end").cast(kind).alias("tick"), *names)
+    sums = cells.groupBy(*by, sliding).agg(*[F.sum(n).alias(n) for n in names])
+    return sums.select(*by, F.col("__w.end").alias("tick"), *names)
 
 
 def with_silence(ticks: DataFrame, by: Sequence[str], step: timedelta, counts: Sequence[str], tick: str = "tick") -> DataFrame:
@@ -210,7 +230,12 @@ def prediction_shift(
 
 
 def alert_states(
-    ticks: DataFrame, keys: Sequence[str], condition: Column, hold: timedelta, step: timedelta, tick: str = "tick"
+    ticks: DataFrame,
+    keys: Sequence[str],
+    condition: Column,
+    hold: timedelta | Column,
+    step: timedelta,
+    tick: str = "tick",
 ) -> DataFrame:
     """State per tick: inactive, pending (condition holds), firing (it has held for ``hold``).
 
@@ -218,15 +243,17 @@ def alert_states(
     tick, so a key has as many rows as the time range has steps, whatever the traffic.
     """
     window = Window.partitionBy(*keys).orderBy("__at")
-    marked = ticks.select(*keys, tick, condition.alias("__on"), micros(tick).alias("__at"))
+    needed = F.lit(int(hold / timedelta(microseconds=1))) if isinstance(hold, timedelta) else hold
+    marked = ticks.select(*keys, tick, condition.alias("__on"), micros(tick).alias("__at"), needed.alias("__hold"))
     gap = F.col("__at") - F.lag("__at").over(window) != int(step / timedelta(microseconds=1))
     starts = F.col("__on") & (~F.lag("__on", 1, False).over(window) | F.coalesce(gap, F.lit(True)))
     runs = marked.withColumn("__first", F.when(starts, F.col(tick)))
     upto = window.rowsBetween(Window.unboundedPreceding, 0)
     since = F.when(F.col("__on"), F.last("__first", ignorenulls=True).over(upto))
-    held = F.col(tick) - F.col("since") >= F.lit(hold)
+    runs = runs.withColumn("since", since)
+    held = F.col("__at") - micros("since") >= F.col("__hold")
     state = F.when(~F.col("__on"), "inactive").when(held, "firing").otherwise("pending")
-    return runs.withColumn("since", since).select(*keys, tick, "since", state.alias("state"))
+    return runs.select(*keys, tick, "since", state.alias("state"))
 
 
 def alerts(states: DataFrame, keys: Sequence[str], tick: str = "tick") -> DataFrame:
@@ -246,7 +273,7 @@ def health_rollup(checks: DataFrame, loaded: str = "loaded", tick: str = "tick")
     return grouped.select(tick, "n_models", F.when(F.col("__ok"), "ok").otherwise("degraded").alias("status"))
 
 
-def alert_report(
+def rule_ticks(
     log: DataFrame,
     rules: Sequence[AlertRule] = ALERT_RULES,
     window: timedelta = RATE_WINDOW,
@@ -254,18 +281,65 @@ def alert_report(
     shift_window: timedelta = SHIFT_WINDOW,
     floor: float = RATE_FLOOR,
     baseline: float = PREDICTION_BASELINE,
+    bounds: Sequence[float] = LATENCY_BOUNDS,
+    watermark: str | None = None,
 ) -> DataFrame:
-    """All raised alerts of the rules: rule, model (``*`` for rules over all models), since, fired_at, last_tick."""
-    everywhere = F.lit("*").alias("model")
-    ticks = {
-        "error_ratio": lambda: error_ratio(log, window, step, floor).select(everywhere, "tick", "error_ratio"),
-        "p95": lambda: latency_quantiles(log, (0.95,), window, step),
-        "qps": lambda: qps(log, window, step),
-        "shift": lambda: prediction_shift(log, baseline, window=shift_window, step=step, floor=floor),
+    """(rule, model, tick, on, hold, silent): whether each rule's condition holds at each tick.
+
+    One table of step sums by model serves all rules; the sums over all models (``*``) come from it too. ``hold`` is in
+    microseconds; ``silent`` is the condition of a model without requests where that is the rule's subject, else null.
+    """
+    measures = {
+        "n": F.lit(1), "errors": (F.col("status") == "error").cast("long"),
+        "timed": F.col("latency_s").isNotNull().cast("long"),
+        **{n: F.coalesce(c, F.lit(0)) for n, c in _bucket_counts(F.col("latency_s"), bounds).items()},
+        "predicted": F.col("prediction").isNotNull().cast("long"), "total": F.coalesce("prediction", F.lit(0.0)),
     }
-    found = None
-    for rule in rules:
-        states = alert_states(ticks[rule.measure](), ["model"], rule.condition(), rule.hold, step)
-        raised = alerts(states, ["model"]).select(F.lit(rule.name).alias("rule"), "model", "since", "fired_at", "last_tick")
-        found = raised if found is None else found.unionByName(raised)
-    return found
+    cells = step_sums(log, measures, ["model"], step, watermark)
+    if not log.isStreaming:
+        cells = written(cells, "steps")
+    kind = log.schema[TIME].dataType
+    us = lambda t: int(t / timedelta(microseconds=1))
+
+    def judged(sums: DataFrame, values: Mapping[str, Column], there: Mapping[str, Column]) -> DataFrame:
+        """A row per rule and tick from one row per model and tick."""
+        lines = [
+            F.when(there[r.measure], F.struct(
+                F.lit(r.name).alias("rule"), r.condition(values[r.measure]).alias("on"), F.lit(us(r.hold)).alias("hold"),
+                (r.condition(F.lit(0.0)) if r.measure == "qps" else F.lit(None).cast("boolean")).alias("silent")))
+            for r in rules if r.measure in values
+        ]
+        rows = sums.select("model", F.col("tick").cast(kind).alias("tick"), F.explode(F.array_compact(F.array(*lines))).alias("r"))
+        return rows.select("r.rule", "model", "tick", "r.on", "r.hold", "r.silent")
+
+    seconds, wide_seconds = F.lit(window.total_seconds()), F.lit(shift_window.total_seconds())
+    both = cells.withColumn("model", F.explode(F.array("model", F.lit(EVERY_MODEL))))
+    short = sliding_sums(both, [n for n in measures if n not in ("predicted", "total")], ["model"], window, step)
+    one = F.col("model") != EVERY_MODEL
+    counts = [F.col(f"le_{i}") for i in range(len(bounds))]
+    short = judged(
+        short,
+        {"error_ratio": (F.col("errors") / seconds) / F.greatest(F.col("n") / seconds, F.lit(float(floor))),
+         "p95": quantile_from_buckets(0.95, bounds, counts, F.col("timed")), "qps": F.col("n") / seconds},
+        {"error_ratio": ~one, "p95": one & (F.col("timed") > 0), "qps": one},
+    )
+    wide = sliding_sums(cells, ["predicted", "total"], ["model"], shift_window, step)
+    mean = (F.col("total") / wide_seconds) / F.greatest(F.col("predicted") / wide_seconds, F.lit(float(floor)))
+    wide = judged(wide, {"shift": F.abs(mean - baseline)}, {"shift": F.col("predicted") > 0})
+    return short.unionByName(wide)
+
+
+def alert_report(log: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES, step: timedelta = RATE_STEP, **options) -> DataFrame:
+    """All raised alerts of the rules: rule, model (``*`` for rules over all models), since, fired_at, last_tick.
+
+    The log is read once, for its step sums. Ticks of a rule and model are ordered in one task: as many as the time
+    range has steps, whatever the traffic.
+    """
+    ticks = rule_ticks(log, rules, step=step, **options)
+    keys = ["rule", "model", "hold", "silent"]
+    quiet = with_silence(
+        ticks.where("silent is not null").withColumn("n", F.lit(1)), keys, step, ["n", "on"])
+    quiet = quiet.withColumn("on", F.when(F.col("n") > 0, F.col("on")).otherwise(F.col("silent"))).drop("n")
+    ticks = ticks.where("silent is null").unionByName(quiet)
+    states = alert_states(ticks, ["rule", "model"], F.col("on"), F.col("hold"), step)
+    return alerts(states, ["rule", "model"])

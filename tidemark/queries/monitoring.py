@@ -1,6 +1,6 @@
 """Monitoring of the event log read as an inference log, in batch and as streams."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -181,6 +181,7 @@ RULES = (
     mo.AlertRule("traffic", "qps", False, 0.001, timedelta(hours=2)),
     mo.AlertRule("shift", "shift", True, 0.02, timedelta(hours=5)),
 )
+RULE_WINDOWS = {"window": WINDOW, "step": STEP, "shift_window": WINDOW, "floor": 0.0001, "baseline": 0.1}
 RULE_TICKS = {
     "errors": (
         "SELECT '*' AS model, tick, (count(*) FILTER (WHERE status = 'error') / 21600) "
@@ -199,16 +200,15 @@ RULE_TICKS = {
 }
 
 
-@query(
-    "alert_report",
-    f"{L} {TICKS} "
-    + " UNION ALL ".join(
-        _alerts_sql(f"'{name}' AS rule,", _states_sql(ticks, hours)) for name, (ticks, hours) in RULE_TICKS.items()
-    ),
+REPORT = f"{L} {TICKS} " + " UNION ALL ".join(
+    _alerts_sql(f"'{name}' AS rule,", _states_sql(ticks, hours)) for name, (ticks, hours) in RULE_TICKS.items()
 )
+
+
+@query("alert_report", REPORT)
 def alert_report(spark, sf):
     """Error ratio, latency, traffic and prediction rules over one log."""
-    return mo.alert_report(inference_log(spark, sf), RULES, WINDOW, STEP, WINDOW, 0.0001, 0.1)
+    return mo.alert_report(inference_log(spark, sf), RULES, **RULE_WINDOWS)
 
 
 OUTAGE = f"""
@@ -217,11 +217,14 @@ OUTAGE = f"""
 """
 
 
+def _users_as_models(df):
+    return df.select("ts", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("model"))
+
+
 @query("traffic_outage", OUTAGE + _alerts_sql("", _states_sql("SELECT * FROM a", 12)))
 def traffic_outage(spark, sf):
     """Users who were silent for more than twelve hours after their first event, as models without requests."""
-    log = events(spark, sf).select("ts", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("model"))
-    ticks = mo.qps(log, WINDOW, STEP)
+    ticks = mo.qps(_users_as_models(events(spark, sf)), WINDOW, STEP)
     states = mo.alert_states(ticks, ["model"], F.col("qps") < 0.00001, timedelta(hours=12), STEP)
     return mo.alerts(states, ["model"])
 
@@ -246,33 +249,73 @@ def _event_stream(spark, sf):
     return jobs.file_stream(spark, sf, events(spark, sf).schema, "events.parquet")
 
 
-CLOSED = "<= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+def _ending(spark, sf, stream, window=WINDOW, step=STEP):
+    """The end of the log: the last window's end, from the last row's time."""
+    last = events(spark, sf).agg(F.max("ts")).first()[0]
+    return jobs.Ending(stream, last - (last - datetime.min) % step + window)
 
 
 @query(
     "stream_downsample",
-    f"""
-    WITH h AS (SELECT *, date_trunc('hour', ts) AS bucket FROM events)
-    SELECT user_id, bucket, count(*) AS n, round(avg(value), 6) AS mean_value,
+    """
+    SELECT user_id, date_trunc('hour', ts) AS bucket, count(*) AS n, round(avg(value), 6) AS mean_value,
            min(value) AS min_value, max(value) AS max_value, arg_max(value, ts) AS last_value
-    FROM h WHERE bucket + INTERVAL 1 HOUR {CLOSED} GROUP BY user_id, bucket
+    FROM events GROUP BY ALL
     """,
 )
 def stream_downsample(spark, sf):
-    """The hourly table as a stream job; hours the watermark has not passed are not out yet."""
-    hourly = downsample(_event_stream(spark, sf), "value", "1 hour", LOG, jobs.WATERMARK)
-    return rounded(jobs.run_to_table(hourly, "hourly"))
+    """The hourly table as a stream job, up to the last hour once the log has ended."""
+    stream = _event_stream(spark, sf)
+    ending = _ending(spark, sf, stream, STEP)
+    hourly = downsample(ending.watermarked(stream), "value", "1 hour", LOG)
+    return rounded(jobs.run_to_table(hourly, "hourly", ending))
+
+
+@query("stream_qps", f"{L} {TICKS}, {_silence_sql('1 HOUR')} SELECT model, tick, n, round(n / 21600, 9) AS qps FROM q")
+def stream_qps(spark, sf):
+    """Request rates as a stream job: step sums, then windows over them, up to the last window."""
+    stream = _event_stream(spark, sf)
+    ending = _ending(spark, sf, stream)
+    rates = mo.qps(inference_log(spark, sf, ending.watermarked(stream)), WINDOW, STEP)
+    return rounded(mo.zero_rates(jobs.run_to_table(rates, "qps", ending), STEP), 9)
 
 
 @query(
-    "stream_qps",
-    f"{L} {TICKS}, done AS (SELECT * FROM t WHERE tick {CLOSED}), {_silence_sql('1 HOUR', 'done')} "
-    "SELECT model, tick, n, round(n / 21600, 9) AS qps FROM q",
+    "stream_prediction_shift",
+    SHIFT
+    + """
+    SELECT model, tick, n, round(total, 6) AS total, round(mean, 12) AS mean_prediction,
+           round(abs(mean - 0.1), 12) AS shift, abs(mean - 0.1) > 0.01 AS shifted FROM m
+    """,
 )
-def stream_qps(spark, sf):
-    log = inference_log(spark, sf, _event_stream(spark, sf))
-    rates = jobs.run_to_table(mo.qps(log, WINDOW, STEP, jobs.WATERMARK), "qps")
-    return rounded(mo.zero_rates(rates, STEP), 9)
+def stream_prediction_shift(spark, sf):
+    stream = _event_stream(spark, sf)
+    ending = _ending(spark, sf, stream)
+    log = inference_log(spark, sf, ending.watermarked(stream))
+    shifts = mo.prediction_shift(log, 0.1, 0.01, WINDOW, STEP, floor=0.001)
+    return rounded(jobs.run_to_table(shifts, "shifts", ending), 12, total=6)
+
+
+@query("stream_outage", OUTAGE + _alerts_sql("", _states_sql("SELECT * FROM a", 12)))
+def stream_outage(spark, sf):
+    """The traffic alerts again, while the log runs: a timer follows every user, so silence fires without any row."""
+    stream = _event_stream(spark, sf)
+    ending = _ending(spark, sf, stream)
+    ticks = mo.qps(_users_as_models(ending.watermarked(stream)), WINDOW, STEP)
+    states = jobs.alert_stream(
+        ticks, ["model"], F.col("qps") < 0.00001, timedelta(hours=12), STEP, silent=F.lit(True), watermark=None)
+    return mo.alerts(jobs.run_to_table(states, "outages", ending), ["model"])
+
+
+@query("stream_alert_report", REPORT)
+def stream_alert_report(spark, sf):
+    """All rules over the log as a stream: step sums, windows, one state per rule and model."""
+    stream = _event_stream(spark, sf)
+    ending = _ending(spark, sf, stream)
+    ticks = mo.rule_ticks(inference_log(spark, sf, ending.watermarked(stream)), RULES, **RULE_WINDOWS)
+    states = jobs.alert_stream(
+        ticks, ["rule", "model"], F.col("on"), F.col("hold"), STEP, silent=F.col("silent"), watermark=None)
+    return mo.alerts(jobs.run_to_table(states, "report", ending), ["rule", "model"])
 
 
 @query("stream_dedup", "SELECT event_id, user_id, ts, value FROM events")

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from datetime import timedelta
+from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.functions.times import micros, watermarked
+from tidemark.functions.times import watermarked
 from tidemark.operators.drift import dataset_drift, drift_from_profile, reference_counts
 from tidemark.plans.scratch import fresh_path
+from tidemark.streaming.alerts import alert_stream  # noqa: F401
 
 WATERMARK = "10 minutes"
 
@@ -38,23 +37,72 @@ def drop_copies(stream: DataFrame, keys: Sequence[str], time: str = "ts", waterm
     return single.withColumn(time, F.col(time).cast(kind))
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+TIMERS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _run(stream: DataFrame, path: str, state: str) -> StreamingQuery:
+    """Append what is available to a table. State is kept outside the heap, in a store that has timers."""
+    spark = stream.sparkSession
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, TIMERS)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", state)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return query
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+
+
+def run_to_table(stream: DataFrame, name: str, ending: Ending | None = None) -> DataFrame:
     """Process what is available, append it to a table in the shared folder, and return that table.
 
-    The file sink commits each batch once, so a restarted or retried batch leaves no copies.
+    The file sink commits each batch once, so a restarted or retried batch leaves no copies. With ``ending`` (through
+    which the stream was watermarked) the query goes on from its checkpoint once the end is marked, and so gives the
+    windows and timers that were still open; times come back in the type the log has.
     """
     spark = stream.sparkSession
     path, state = fresh_path(spark, name), fresh_path(spark, f"{name}-state")
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", state)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    _run(stream, path, state)
+    if ending:
+        ending.mark()
+        _run(stream, path, state)
+    made = spark.read.schema(stream.schema).parquet(path)
+    times = [f.name for f in made.schema.fields if f.dataType == T.TimestampType()] if ending else []
+    return made.withColumns({t: F.col(t).cast(ending.schema[ending.time].dataType) for t in times})
+
+
+class Ending:
+    """The end of a log as a stream of its own: one late mark that moves the watermark to ``at`` and is not a row."""
+
+    def __init__(self, stream: DataFrame, at: datetime, time: str = "ts", delay: timedelta = timedelta(minutes=10)):
+        self.schema, self.at, self.time, self.delay = stream.schema, at, time, delay
+        self.folder = fresh_path(stream.sparkSession, "ending")
+        self.spark = stream.sparkSession
+        self._write([])
+
+    def _write(self, rows: list) -> None:
+        marks = self.spark.createDataFrame(rows, "at timestamp_ntz")
+        kind = lambda f: (F.col("at") if f.name == self.time else F.lit(None)).cast(f.dataType).alias(f.name)
+        marks.select(*map(kind, self.schema.fields)).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def watermarked(self, stream: DataFrame) -> DataFrame:
+        """The stream with its watermark, which also follows the mark; rows from the time of the mark on are not part of it."""
+        marks = self.spark.readStream.schema(self.schema).parquet(self.folder)
+        both = watermarked(stream.unionByName(marks), self.time, f"{int(self.delay.total_seconds())} seconds")
+        before = F.col(self.time) < F.lit(str(self.at + self.delay)).cast("timestamp_ntz").cast("timestamp")
+        # no filter goes below a column that is not deterministic: the mark reaches the watermark whatever the query drops
+        return both.withColumn("__any", F.rand()).where(before & (F.col("__any") >= 0)).drop("__any")
+
+    def mark(self) -> None:
+        self._write([(self.at + self.delay,)])
 
 
 def rows_too_late(query: StreamingQuery) -> int:
@@ -64,47 +112,6 @@ def rows_too_late(query: StreamingQuery) -> int:
     )
 
 
-def alert_stream(
-    ticks: DataFrame, keys: Sequence[str], condition: Column, hold: timedelta, step: timedelta, tick: str = "tick"
-) -> DataFrame:
-    """Alert states over a stream of evaluation ticks, the same rows `alert_states` gives for a table.
-
-    Ticks of a key must arrive in time order across batches. State is two numbers per key: where the
-    run began and the last tick seen.
-    """
-    keys = list(keys)
-    hold_us, step_us = int(hold / timedelta(microseconds=1)), int(step / timedelta(microseconds=1))
-    kind = ticks.schema[tick].dataType
-    rows = ticks.select(*keys, micros(tick).alias("at"), condition.alias("on"))
-    key_fields = [ticks.schema[k] for k in keys]
-    out = T.StructType(
-        key_fields
-        + [T.StructField("at", T.LongType()), T.StructField("since_at", T.LongType()), T.StructField("state", T.StringType())]
-    )
-    kept = T.StructType([T.StructField("since", T.LongType()), T.StructField("last", T.LongType())])
-
-    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        since, last = state.get if state.exists else (None, None)
-        batch = pd.concat(list(parts)).sort_values("at")
-        since_at, states = [], []
-        for at, on in zip(batch["at"].tolist(), batch["on"].tolist()):
-            if not on:
-                since = None
-            elif since is None or last is None or at - last != step_us:
-                since = at
-            last = at
-            since_at.append(since)
-            states.append("inactive" if not on else "firing" if at - since >= hold_us else "pending")
-        state.update((since, last))
-        made = {name: [value] * len(batch) for name, value in zip(keys, key)}
-        made.update({"at": batch["at"].tolist(), "since_at": pd.array(since_at, dtype="Int64"), "state": states})
-        yield pd.DataFrame(made)
-
-    followed = rows.groupBy(*keys).applyInPandasWithState(follow, out, kept, "append", GroupStateTimeout.NoTimeout)
-    as_time = lambda c: F.timestamp_micros(c).cast(kind)
-    return followed.select(*keys, as_time("at").alias(tick), as_time("since_at").alias("since"), "state")
-
-
 def drift_each_batch(
     reference: DataFrame, columns: Sequence[str], path: str
 ) -> Callable[[DataFrame, int], None]:
