@@ -1,6 +1,6 @@
 """Drift between the time halves of the event log, and between two periods of lineitem."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -8,6 +8,7 @@ from tidemark.catalog import query
 from tidemark.functions.times import truncated
 from tidemark.operators import drift as dr
 from tidemark.operators import evaluation as ev
+from tidemark.operators import rolling as ro
 from tidemark.operators import store as st
 from tidemark.operators.splits import reference_current
 from tidemark.plans.scratch import written
@@ -15,6 +16,7 @@ from tidemark.queries.base import LOG, SCORED_SQL, events, labelled, rounded, sc
 from tidemark.queries.evaluation import CONFUSION, RATES
 from tidemark.session import table
 from tidemark.sources.versions import fingerprint
+from tidemark.streaming import jobs
 
 CUT = "1999-01-01"
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -404,3 +406,39 @@ def retrain_decision(spark, sf):
         *[F.max(F.when(F.col("v") == n, F.col("version"))).alias(n) for n in ("old", "new")]
     )
     return dr.retrain_decision(rolled, gate, both)
+
+
+SNAPSHOT = "2024-01-11"
+ROLLING = f"""
+  WITH l AS (SELECT ts, unnest(['value', 'user_id']) AS feature, unnest([value::DOUBLE, user_id::DOUBLE]) AS value FROM events),
+       c AS (SELECT feature, value, date_trunc('hour', ts) + (24 - i) * INTERVAL 1 HOUR AS tick
+             FROM l, (SELECT unnest(range(24)) AS i) WHERE ts >= TIMESTAMP '{SNAPSHOT}'),
+       long AS (SELECT feature, tick, value, 'current' AS side FROM c
+                UNION ALL SELECT t.feature, t.tick, l.value, 'reference'
+                FROM (SELECT DISTINCT feature, tick FROM c) t JOIN l USING (feature) WHERE l.ts < TIMESTAMP '{SNAPSHOT}')
+""" + _frame_sql("long", "feature, tick") + _ks_sql("feature, tick") + """
+  SELECT feature, tick, n_ref, n_cur, statistic, p_value, drifted FROM result
+"""
+
+
+def _snapshot_grids(spark, sf):
+    reference = events(spark, sf).where(F.col("ts") < F.lit(SNAPSHOT).cast("timestamp_ntz"))
+    return ro.reference_grids(reference, ["value", "user_id"], cells=20_000)
+
+
+@query("rolling_drift", ROLLING)
+def rolling_drift(spark, sf):
+    """Every hour, the last 24 hours against a training snapshot."""
+    log = events(spark, sf).where(F.col("ts") >= F.lit(SNAPSHOT).cast("timestamp_ntz"))
+    return rounded(ro.rolling_drift(log, _snapshot_grids(spark, sf)))
+
+
+@query("stream_rolling_drift", ROLLING)
+def stream_rolling_drift(spark, sf):
+    """The hourly drift job on the log as a stream."""
+    grids = _snapshot_grids(spark, sf)
+    stream = jobs.file_stream(spark, sf, events(spark, sf).schema, "events.parquet")
+    last = events(spark, sf).agg(F.max("ts")).first()[0]
+    ending = jobs.Ending(stream, last - (last - datetime.min) % ro.STEP + dr.CURRENT_WINDOW)
+    log = ending.watermarked(stream).where(F.col("ts") >= F.lit(SNAPSHOT).cast("timestamp_ntz").cast("timestamp"))
+    return rounded(jobs.run_to_table(ro.rolling_drift_stream(log, grids), "rolling-drift", ending))
