@@ -17,6 +17,7 @@ from tidemark.queries.evaluation import CONFUSION, RATES
 from tidemark.session import table
 from tidemark.sources.versions import fingerprint
 from tidemark.streaming import jobs
+from tidemark.streaming.labels import label_feedback
 
 CUT = "1999-01-01"
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -309,8 +310,7 @@ def consecutive_alert(spark, sf):
     return dr.consecutive_alert(daily.withColumn("alarm", F.col("m") > 48), ["event_type"], "day", "alarm", 2)
 
 
-@query(
-    "concept_drift",
+CONCEPT = (
     """
     WITH p AS (SELECT event_id, user_id, ts, value / 500.0::DOUBLE AS score FROM events WHERE event_type = 'purchase'),
          e AS (SELECT user_id, ts AS lts FROM events WHERE event_type = 'error'),
@@ -330,8 +330,11 @@ def consecutive_alert(spark, sf):
                       count(*) FILTER (WHERE label = 0 AND score < 0.1) AS tn FROM s GROUP BY period)
     SELECT k.period, """
     + RATES
-    + ", roc_auc FROM k JOIN a ON k.period = a.period",
+    + ", roc_auc FROM k JOIN a ON k.period = a.period"
 )
+
+
+@query("concept_drift", CONCEPT)
 def concept_drift(spark, sf):
     """Score every purchase, label it by an error of the same user within a day, then rate each day.
 
@@ -442,3 +445,21 @@ def stream_rolling_drift(spark, sf):
     ending = jobs.Ending(stream, last - (last - datetime.min) % ro.STEP + dr.CURRENT_WINDOW)
     log = ending.watermarked(stream).where(F.col("ts") >= F.lit(SNAPSHOT).cast("timestamp_ntz").cast("timestamp"))
     return rounded(jobs.run_to_table(ro.rolling_drift_stream(log, grids), "rolling-drift", ending))
+
+
+@query("stream_concept_drift", CONCEPT)
+def stream_concept_drift(spark, sf):
+    """Purchases and errors as two streams: each purchase is labelled as soon as an error of its user arrives, or as 0
+    once a day has passed on both streams; then every day is rated."""
+    rows = events(spark, sf)
+    horizon = timedelta(days=1)
+    end = rows.agg(F.max("ts")).first()[0] + horizon + timedelta(hours=1)
+    sides = [jobs.file_stream(spark, sf, rows.schema, "events.parquet") for _ in range(2)]
+    endings = [jobs.Ending(s, end) for s in sides]
+    made, late = [e.watermarked(s) for e, s in zip(endings, sides)]
+    made = made.where("event_type = 'purchase'").select("event_id", "user_id", "ts", (F.col("value") / 500.0).alias("score"))
+    late = late.where("event_type = 'error'").select("user_id", "ts")
+    joined = label_feedback(made, late, ["user_id"], ["event_id"], horizon, delay=None, label_delay=None)
+    labelled = jobs.run_to_table(joined, "feedback", *endings)
+    daily = labelled.select(truncated(labelled, "ts", "day").alias("period"), "label", "score")
+    return rounded(ev.classification_report(daily, "label", "score", 0.1, ["period"]).drop("aucpr"))

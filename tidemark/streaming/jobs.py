@@ -61,22 +61,23 @@ def _run(stream: DataFrame, path: str, state: str) -> StreamingQuery:
         spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
 
 
-def run_to_table(stream: DataFrame, name: str, ending: Ending | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str, *endings: Ending) -> DataFrame:
     """Process what is available, append it to a table in the shared folder, and return that table.
 
-    The file sink commits each batch once, so a restarted or retried batch leaves no copies. With ``ending`` (through
-    which the stream was watermarked) the query goes on from its checkpoint once the end is marked, and so gives the
+    The file sink commits each batch once, so a restarted or retried batch leaves no copies. With ``endings`` (through
+    which its streams were watermarked) the query goes on from its checkpoint once the ends are marked, and so gives the
     windows and timers that were still open; times come back in the type the log has.
     """
     spark = stream.sparkSession
     path, state = fresh_path(spark, name), fresh_path(spark, f"{name}-state")
     _run(stream, path, state)
-    if ending:
+    for ending in endings:
         ending.mark()
+    if endings:
         _run(stream, path, state)
     made = spark.read.schema(stream.schema).parquet(path)
-    times = [f.name for f in made.schema.fields if f.dataType == T.TimestampType()] if ending else []
-    return made.withColumns({t: F.col(t).cast(ending.schema[ending.time].dataType) for t in times})
+    times = [f.name for f in made.schema.fields if f.dataType == T.TimestampType()] if endings else []
+    return made.withColumns({t: F.col(t).cast(endings[0].schema[endings[0].time].dataType) for t in times})
 
 
 class Ending:
