@@ -34,6 +34,7 @@ def load() -> None:
         monitoring,
         quality,
         runs,
+        sketches,
         sources,
         splits,
         store,
