@@ -15,6 +15,7 @@ from tidemark.queries.base import LOG, events, labelled, rounded
 from tidemark.session import table
 from tidemark.sources import tables as tb
 from tidemark.sources import versions as vs
+from tidemark.sources.trees import TreeStore
 
 
 @query(
@@ -196,3 +197,57 @@ def latest_hourly_rows(spark, sf):
     df = events(spark, sf)
     df = df.withColumn("hour", truncated(df, "ts", "hour"))
     return latest_rows(df, ["value"], Contract(("user_id",), "hour", ("event_id",)))
+
+
+EDITED = """
+  WITH v2 AS (SELECT event_id, user_id, ts, event_type, value + CASE WHEN ts::DATE = DATE '2024-01-07' THEN 1.0 ELSE 0 END AS value
+              FROM events WHERE NOT (ts::DATE = DATE '2024-01-05' AND event_type = 'error')),
+       v1 AS (SELECT event_id, user_id, ts, event_type, value FROM events)
+"""
+
+
+def _saved_twice(spark, sf):
+    """The event log and an edited copy in one store, by days: (store, roots)."""
+    df = events(spark, sf).select("event_id", "user_id", "ts", "event_type", "value")
+    day = F.to_date("ts")
+    on = lambda d: day == F.lit(d).cast("date")
+    edited = df.where(~(on("2024-01-05") & (F.col("event_type") == "error")))
+    edited = edited.withColumn("value", F.col("value") + F.when(on("2024-01-07"), 1.0).otherwise(0.0))
+    store = TreeStore(spark, fresh_path(spark, "store"), day)
+    return store, [store.save(v).root for v in (df, edited)]
+
+
+@query("version_restore", "SELECT event_id, user_id, ts, event_type, value FROM events")
+def version_restore(spark, sf):
+    """The first of two versions that share most of their parts."""
+    store, (first, _) = _saved_twice(spark, sf)
+    return store.restore(first)
+
+
+@query(
+    "version_parts",
+    EDITED
+    + """
+    SELECT ts::DATE::VARCHAR AS part, count(*) AS n_old,
+           count(*) FILTER (WHERE NOT (ts::DATE = DATE '2024-01-05' AND event_type = 'error')) AS n_new
+    FROM events WHERE ts::DATE IN (DATE '2024-01-05', DATE '2024-01-07') GROUP BY ts::DATE
+    HAVING n_old <> n_new OR ts::DATE = DATE '2024-01-07'
+    """,
+)
+def version_parts(spark, sf):
+    """The days in which two versions differ, without reading the rows of either."""
+    store, roots = _saved_twice(spark, sf)
+    return store.changed_parts(*roots).select(F.col("__part").alias("part"), "n_old", "n_new")
+
+
+@query(
+    "version_tree_diff",
+    EDITED
+    + """
+    SELECT *, 'added' AS change FROM (SELECT * FROM v2 EXCEPT ALL SELECT * FROM v1)
+    UNION ALL SELECT *, 'removed' FROM (SELECT * FROM v1 EXCEPT ALL SELECT * FROM v2)
+    """,
+)
+def version_tree_diff(spark, sf):
+    store, roots = _saved_twice(spark, sf)
+    return store.diff(*roots)

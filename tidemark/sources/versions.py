@@ -32,19 +32,31 @@ def _row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.md5(F.concat(*cells))
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (n_rows, version) that depends on names, types and content and not on the order of the rows.
-
-    Row hashes are added up, so tasks combine their parts and a repeated row still changes the sum.
-    """
-    columns = sorted(columns or df.columns)
+def _sums(df: DataFrame, columns: Sequence[str]) -> tuple[list[Column], Column]:
+    """Sums of row hashes that tasks combine, and the digest of (n_rows, s0, s1)."""
     digest = _row_hash(df, columns)
     kinds = ",".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
     schema = hashlib.md5(kinds.encode()).hexdigest()[:8]
     parts = [F.conv(F.substring(digest, at, 12), 16, 10).cast("decimal(38,0)") for at in (1, 13)]
-    sums = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(parts)])
+    sums = [F.count(F.lit(1)).alias("n_rows"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(parts)]]
     pieces = [F.coalesce(F.col(f"s{i}"), F.lit(0)).cast("string") for i in (0, 1)]
-    return sums.select("n_rows", F.concat_ws("-", F.lit(schema), F.col("n_rows").cast("string"), *pieces).alias("version"))
+    return sums, F.concat_ws("-", F.lit(schema), F.col("n_rows").cast("string"), *pieces)
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row (n_rows, version) that depends on names, types and content and not on the order of the rows.
+
+    Row hashes are added up, so tasks combine their parts and a repeated row still changes the sum.
+    """
+    sums, version = _sums(df, sorted(columns or df.columns))
+    return df.agg(*sums).select("n_rows", version.alias("version"))
+
+
+def part_digests(df: DataFrame, part: Column) -> DataFrame:
+    """(part, __digest, n_rows) for the parts of a table, each by its `fingerprint`."""
+    sums, version = _sums(df, sorted(df.columns))
+    name = df.select(part).columns[0]
+    return df.groupBy(part).agg(*sums).select(name, version.alias("__digest"), "n_rows")
 
 
 def diff(old: DataFrame, new: DataFrame) -> DataFrame:
