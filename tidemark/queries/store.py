@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from tidemark.catalog import query
 from tidemark.contract import Contract, FeatureService, FeatureView
 from tidemark.operators import store as st
+from tidemark.operators.online import OnlineTable
+from tidemark.plans.scratch import fresh_path
 from tidemark.queries.base import LOG, events, rounded
 from tidemark.session import table
 
@@ -141,6 +143,16 @@ def materialize_latest(spark, sf):
     return _latest(spark, sf)
 
 
+@query("materialize_steps", LATEST_SQL)
+def materialize_steps(spark, sf):
+    """The same table in three steps of the log: each reads the rows after the mark and rewrites the parts they touch."""
+    df = events(spark, sf)
+    online = OnlineTable(spark, fresh_path(spark, "online"), df.schema, ["value"], LOG)
+    for end in (START + timedelta(days=8), START + timedelta(days=15), END):
+        online.step(df, end, START)
+    return online.rows()
+
+
 @query(
     "latest_lookup",
     f"""
