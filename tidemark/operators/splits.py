@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.contract import Contract
 from tidemark.functions.exprs import hash_bucket, hash_share
 from tidemark.plans.joins import join_small
-from tidemark.plans.ordered import exact_cut, running, up_to_cut
+from tidemark.plans.ordered import exact_cut, up_to_cut
+from tidemark.plans.selection import GROUP, grouped_cuts, upto_cuts
 
 
 def _order(contract: Contract) -> list[str]:
@@ -79,14 +80,23 @@ def hash_split(df: DataFrame, key: Sequence[str], test: float, seed: int = 42) -
     return df.withColumn("split", F.when(share < test, "test").otherwise("train"))
 
 
+def _first_of_each(df: DataFrame, label: str, key: Sequence[str], share: str, take: Column) -> DataFrame:
+    """``df`` with ``__chosen``: the first ``take`` (an expression of ``n``) rows of each class by (share, key)."""
+    group, order = [label], [share, *key]
+    sizes = df.groupBy(F.struct(label).alias(GROUP)).agg(F.count(F.lit(1)).alias("n"), F.first(label).alias(label))
+    wanted = sizes.select(GROUP, take.cast("long").alias("k"))
+    return upto_cuts(df, group, order, grouped_cuts(df.select(label, *order), group, order, wanted))
+
+
 def stratified_split(df: DataFrame, label: str, key: Sequence[str], test: float, seed: int = 42) -> DataFrame:
-    """Random split with exactly round(n * test) test rows in every stratum of size n."""
+    """Random split with exactly round(n * test) test rows in every stratum of size n.
+
+    The border row of each stratum is selected by counting, then rows are compared with it: the table is neither sorted
+    nor shuffled.
+    """
     marked = df.withColumn("__share", hash_share(key, seed))
-    one, size = {"__place": ("sum", F.lit(1))}, {"__size": F.lit(1)}
-    keys = marked.select(label, "__share", *key)
-    ranked = running(marked, [label], ["__share", *key], one, size, sizing=keys)
-    chosen = F.col("__place") <= F.round(F.col("__size") * F.lit(float(test)))
-    return ranked.withColumn("split", F.when(chosen, "test").otherwise("train")).select(*df.columns, "split")
+    split = _first_of_each(marked, label, key, "__share", F.round(F.col("n") * F.lit(float(test))))
+    return split.withColumn("split", F.when(F.col("__chosen"), "test").otherwise("train")).select(*df.columns, "split")
 
 
 def kfold(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
@@ -107,6 +117,26 @@ def with_class_weights(df: DataFrame, label: str) -> DataFrame:
     return join_small(df, class_weights(df, label).drop("n_class"), [label])
 
 
-def resample(df: DataFrame, label: str, fractions: dict, seed: int = 42) -> DataFrame:
-    """Sample each class by its fraction (classes left out are dropped): the sampling operator itself."""
-    return df.sampleBy(label, fractions, seed)
+def resample(df: DataFrame, label: str, key: Sequence[str], rows: Mapping, seed: int = 42) -> DataFrame:
+    """Each class with exactly the number of rows asked for, as ``copy`` 1, 2, ... of its rows.
+
+    A class of n rows with k asked for gives every row k // n times, and once more the k % n rows with the smallest hash
+    of the key; so a smaller k is a subset of a larger one, and a run repeated gives the same rows. Classes that are not
+    named drop out. Nothing but counts is shuffled.
+    """
+    pairs = [F.struct(F.lit(c).cast(df.schema[label].dataType).alias("c"), F.lit(int(k)).alias("k")) for c, k in rows.items()]
+    asked = F.coalesce(F.get(F.filter(F.array(*pairs), lambda p: p["c"].eqNullSafe(F.col(label))), F.lit(0))["k"], F.lit(0))
+    marked = df.withColumns({"__share": hash_share(key, seed), "__asked": asked}).where("__asked > 0")
+    sizes = marked.groupBy(F.struct(label).alias(GROUP)).agg(F.count(F.lit(1)).alias("__rows"))
+    chosen = _first_of_each(marked, label, key, "__share", F.pmod(asked, F.col("n")))
+    sized = join_small(chosen.withColumn(GROUP, F.struct(label)), sizes, [GROUP])
+    copies = F.floor(F.col("__asked") / F.col("__rows")) + F.col("__chosen").cast("int")
+    copied = sized.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
+    return copied.select(*df.columns, "copy")
+
+
+def balanced(df: DataFrame, label: str, key: Sequence[str], seed: int = 42, over: bool = False) -> DataFrame:
+    """Every class with as many rows as the smallest one, or with ``over`` as the largest one."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    size = (max if over else min)(counts.values(), default=0)
+    return resample(df, label, key, {c: size for c in counts}, seed)

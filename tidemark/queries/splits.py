@@ -107,3 +107,37 @@ def kfold_assign(spark, sf):
 )
 def class_weights(spark, sf):
     return rounded(sp.class_weights(labelled(spark, sf), "label"))
+
+
+RANKED = f"""
+  WITH r AS (SELECT event_id, event_type, value, count(*) OVER (PARTITION BY event_type) AS n,
+                    row_number() OVER (PARTITION BY event_type ORDER BY {SHARE.format(key="event_id")}, event_id) AS i
+             FROM events)
+"""
+
+
+@query(
+    "resample_counts",
+    RANKED
+    + """
+    , k AS (SELECT *, CASE event_type WHEN 'error' THEN 2500 WHEN 'click' THEN 40 END AS k FROM r),
+    c AS (SELECT *, k // n + CASE WHEN i <= k % n THEN 1 ELSE 0 END AS copies FROM k WHERE k IS NOT NULL)
+    SELECT event_id, event_type, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy FROM c
+    """,
+)
+def resample_counts(spark, sf):
+    """More errors than there are, and few clicks, both to the row."""
+    df = events(spark, sf).select("event_id", "event_type")
+    return sp.resample(df, "event_type", ["event_id"], {"error": 2500, "click": 40})
+
+
+@query(
+    "balanced_classes",
+    RANKED
+    + """
+    , m AS (SELECT min(n) AS least FROM r)
+    SELECT event_id, event_type, 1::INTEGER AS copy FROM r, m WHERE i <= least
+    """,
+)
+def balanced_classes(spark, sf):
+    return sp.balanced(events(spark, sf).select("event_id", "event_type"), "event_type", ["event_id"])
