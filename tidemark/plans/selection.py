@@ -40,7 +40,8 @@ def grouped_cuts(keys: DataFrame, group: Sequence[str], order: Sequence[str], wa
             met = met.where(F.col(c).isNull() | F.col(c).cast("double").between(F.col(f"__lo_{c}"), F.col(f"__hi_{c}")))
         return met
 
-    for column in numeric:
+    most = state.agg(F.max("__n")).first()[0] or 0
+    for column in numeric if most > limit else []:
         lo, hi = F.col(f"__lo_{column}"), F.col(f"__hi_{column}")
         wide = (F.col("__n") > limit) & (lo < hi)
         while not state.where(wide).isEmpty():

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
+from tidemark.operators import halving as hv
+from tidemark.operators import importance as im
 from tidemark.operators import runs as rn
 from tidemark.plans.scratch import written
 from tidemark.queries.base import events, inference_log, rounded
@@ -103,6 +105,36 @@ def param_importance(spark, sf):
     return rounded(rn.param_importance(_trials(spark, sf), params), 8, importance=4)
 
 
+@query(
+    "param_variance",
+    """
+    WITH r AS (SELECT min(l_quantity) AS a, max(l_quantity) AS b, min(l_discount) AS c, max(l_discount) AS d,
+                      (max(l_quantity) FILTER (WHERE l_quantity <= 25) + min(l_quantity) FILTER (WHERE l_quantity > 25)) / 2 AS q,
+                      (max(l_discount) FILTER (WHERE l_discount <= 0.05) + min(l_discount) FILTER (WHERE l_discount > 0.05)) / 2 AS x
+               FROM lineitem),
+         s AS (SELECT (b - q) / (b - a) AS p, (d - x) / (d - c) AS u FROM r),
+         z AS (SELECT i, j, CASE i WHEN 1 THEN p ELSE 1 - p END AS wi, CASE j WHEN 1 THEN u ELSE 1 - u END AS wj,
+                      2.0::DOUBLE * i + j + 3 * i * j AS y
+               FROM s, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)),
+         m AS (SELECT sum(wi * wj * y) AS m, sum(wi * wj * y * y) - sum(wi * wj * y) ** 2 AS total FROM z),
+         qi AS (SELECT i, any_value(wi) AS w, sum(wj * y) AS a FROM z GROUP BY i),
+         xj AS (SELECT j, any_value(wj) AS w, sum(wi * y) AS a FROM z GROUP BY j),
+         v AS (SELECT 'quantity' AS params, sum(w * (a - m) ** 2) AS variance FROM qi, m
+               UNION ALL SELECT 'discount', sum(w * (a - m) ** 2) FROM xj, m
+               UNION ALL SELECT 'quantity,discount', sum(wi * wj * (y - qi.a - xj.a + m) ** 2)
+               FROM z JOIN qi USING (i) JOIN xj USING (j), m)
+    SELECT params, round(variance, 6) AS variance, round(variance / total, 6) AS share FROM v, m
+    """,
+)
+def param_variance(spark, sf):
+    """Two parameters of which one matters more where the other is large."""
+    high, dear = F.col("l_quantity") > 25, F.col("l_discount") > 0.05
+    value = 2.0 * high.cast("int") + dear.cast("int") + 3.0 * (high & dear).cast("int")
+    trials = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), value.alias("value"))
+    return rounded(im.param_variance(trials, ["quantity", "discount"], depth=4))
+
+
 @query(
     "param_response",
     """
@@ -133,6 +165,79 @@ def median_prune(spark, sf):
     return rn.median_prune(written(steps.agg(F.max("l_extendedprice").alias("value")), "steps"), warmup=3)
 
 
+STEPS = """
+  WITH s AS (SELECT l_orderkey AS trial, l_linenumber AS step, max(l_extendedprice) AS value, min(l_shipdate) AS "at"
+             FROM lineitem GROUP BY ALL)
+"""
+
+
+def _steps(spark, sf):
+    """An order is a trial, its lines are the steps it reports, the shipping date is when."""
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("trial"), F.col("l_linenumber").alias("step"))
+    return written(lines.agg(F.max("l_extendedprice").alias("value"), F.min("l_shipdate").alias("at")), "steps")
+
+
+def _halved_sql(rungs, source, group=""):
+    """Survivors of each rung: the best half, at least one, of what the rungs before have left."""
+    parts, gone = [], []
+    for step, start in rungs:
+        anti = "".join(f" AND trial NOT IN (SELECT trial FROM stop{g})" for g in gone)
+        over = f"PARTITION BY {group}" if group else ""
+        parts.append(f"""
+          at{step} AS (SELECT *, row_number() OVER ({over} ORDER BY value DESC, trial) AS nth, count(*) OVER ({over}) AS n
+                       FROM {source} WHERE step = {step} AND {start}{anti}),
+          stop{step} AS (SELECT trial, step AS stopped_at FROM at{step} WHERE nth > greatest(1, n // 2))""")
+        gone.append(step)
+    union = " UNION ALL ".join(f"SELECT * FROM stop{g}" for g in gone)
+    columns = f"{group}, trial" if group else "trial"
+    return ",".join(parts) + f""", gone AS ({union})
+      SELECT {columns}, count(*) AS n_steps, any_value(stopped_at) AS stopped_at,
+             count(*) FILTER (WHERE stopped_at IS NULL OR step <= stopped_at) AS n_run
+      FROM {source} LEFT JOIN gone USING (trial) GROUP BY {columns}"""
+
+
+@query("successive_halving", STEPS + "," + _halved_sql([(1, "true"), (2, "true")], "s"))
+def successive_halving(spark, sf):
+    """After the first and the second line of an order, only the better half goes on."""
+    return hv.successive_halving(_steps(spark, sf), last=4, eta=2)
+
+
+@query(
+    "hyperband",
+    STEPS
+    + f"""
+    , b AS (SELECT *, CASE WHEN {SHARE.format(key="trial")} < 0.3 THEN 0 WHEN {SHARE.format(key="trial")} < 0.6 THEN 1
+                      ELSE 2 END AS bracket FROM s),"""
+    + _halved_sql([(1, "bracket = 2"), (2, "bracket >= 1")], "b", "bracket"),
+)
+def hyperband(spark, sf):
+    """Three brackets: two rungs, one, and none."""
+    return hv.hyperband(_steps(spark, sf), last=4, eta=2)
+
+
+def _asha_sql(rungs):
+    """A report is compared with those that arrived before it at the same rung."""
+    parts, gone = [], []
+    for step in rungs:
+        anti = "".join(f" AND trial NOT IN (SELECT trial FROM stop{g})" for g in gone)
+        parts.append(f"""
+          at{step} AS (SELECT trial, value, row_number() OVER (ORDER BY "at", trial) AS seen FROM s WHERE step = {step}{anti}),
+          stop{step} AS (SELECT a.trial, {step} AS stopped_at FROM at{step} a JOIN at{step} b ON b.seen <= a.seen
+                         GROUP BY a.trial, a.seen HAVING count(*) FILTER (WHERE b.value > a.value) >= greatest(1, a.seen // 2))""")
+        gone.append(step)
+    union = " UNION ALL ".join(f"SELECT * FROM stop{g}" for g in gone)
+    return ",".join(parts) + f""", gone AS ({union})
+      SELECT trial, count(*) AS n_steps, any_value(stopped_at)::INTEGER AS stopped_at,
+             count(*) FILTER (WHERE stopped_at IS NULL OR step <= stopped_at) AS n_run
+      FROM s LEFT JOIN gone USING (trial) GROUP BY trial"""
+
+
+@query("asha_prune", STEPS + "," + _asha_sql([1, 2]))
+def asha_prune(spark, sf):
+    """The same decided report by report, in the order of the shipping dates."""
+    return hv.asha(_steps(spark, sf), "at", last=4, eta=2)
+
+
 @query(
     "pareto_front",
     """
