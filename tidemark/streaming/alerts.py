@@ -25,7 +25,7 @@ class AlertFollower(StatefulProcessor):
 
     Ticks wait as one byte each in blocks of BLOCK, fetched one at a time, so neither the rows of a batch nor the
     backlog of a key are ever together in memory, and rows may come in any order. Besides the waiting ticks the state is
-    one row: the next tick to judge, the run so far, the last tick heard, the rule.
+    one row: the next tick to judge, the run so far, the last tick judged that was there, the latest that waits, the rule.
     """
 
     def __init__(self, keys: Sequence[str], step: int, forget: int | None):
@@ -35,7 +35,7 @@ class AlertFollower(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "block long", "flags binary")
         self.run = handle.getValueState(
-            "run", "next long, started boolean, on boolean, since long, heard long, hold long, quiet int")
+            "run", "next long, started boolean, on boolean, since long, heard long, latest long, hold long, quiet int")
 
     def _flags(self, block: int) -> np.ndarray:
         if self.waiting.containsKey((block,)):
@@ -68,14 +68,14 @@ class AlertFollower(StatefulProcessor):
         if first is None:
             return iter([])
         if state is None:
-            self._wait((first * self.step, False, False, 0, last * self.step, *rule))
+            self._wait((first * self.step, False, False, 0, first * self.step, last * self.step, *rule))
         else:
-            following, started, on, since, heard, hold, quiet = state
-            heard = max(heard, last * self.step)
+            following, started, on, since, heard, latest, hold, quiet = state
+            latest = max(latest, last * self.step)
             if not started and first * self.step < following:
-                self._wait((first * self.step, False, False, 0, heard, hold, quiet), following)
+                self._wait((first * self.step, False, False, 0, first * self.step, latest, hold, quiet), following)
             else:
-                self.run.update((following, started, on, since, heard, hold, quiet))
+                self.run.update((following, started, on, since, heard, latest, hold, quiet))
         return iter([])
 
     def _put(self, held: dict[int, np.ndarray]) -> None:
@@ -91,24 +91,26 @@ class AlertFollower(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        slot, _, on, since, heard, hold, quiet = self.run.get()
+        slot, _, on, since, heard, latest, hold, quiet = self.run.get()
         slot //= self.step
         end = passed // self.step
-        silent_end = end if quiet >= 0 else heard // self.step
-        if quiet >= 0 and self.forget is not None:
-            silent_end = min(end, (heard + self.forget) // self.step)
-        while slot <= min(end, silent_end):
+        if quiet < 0 or self.forget is not None:
+            # behind the latest tick nothing is to say, or only for a while
+            end = min(end, (latest + (self.forget if quiet >= 0 else 0)) // self.step)
+        while slot <= end:
             block = slot // BLOCK
-            to = min((block + 1) * BLOCK - 1, end, silent_end)
+            to = min((block + 1) * BLOCK - 1, end)
             flags = self._flags(block)[slot % BLOCK : to % BLOCK + 1]
             at = np.arange(slot, to + 1) * self.step
-            holds = (flags == ON) | ((flags == MISSING) & (quiet == 1))
+            there = flags != MISSING
+            last = np.maximum.accumulate(np.where(there, at, heard))
+            shown = there | ((quiet >= 0) & (True if self.forget is None else at - last <= self.forget))
+            holds = (flags == ON) | (~there & shown & (quiet == 1))
             starts = holds & ~np.concatenate(([on], holds[:-1]))
             began = np.where(starts, at, np.iinfo(np.int64).min)
             began[0] = max(began[0], since) if on and holds[0] else began[0]
             began = np.maximum.accumulate(began)
-            on, since = bool(holds[-1]), int(began[-1]) if holds[-1] else 0
-            shown = np.ones(len(at), bool) if quiet >= 0 else flags != MISSING
+            on, since, heard = bool(holds[-1]), int(began[-1]) if holds[-1] else 0, int(last[-1])
             state = np.where(~holds, "inactive", np.where(at - began >= hold, "firing", "pending"))
             made = {name: [value] * int(shown.sum()) for name, value in zip(self.keys, key)}
             made |= {"at": at[shown], "state": state[shown],
@@ -119,12 +121,13 @@ class AlertFollower(StatefulProcessor):
             slot = to + 1
             if shown.any():
                 yield pd.DataFrame(made)
-        forgotten = quiet >= 0 and self.forget is not None and silent_end < end
-        if slot * self.step > heard and (forgotten or (quiet < 0 and slot <= end)):
+        following = slot * self.step
+        over = following > latest + (self.forget if quiet >= 0 and self.forget is not None else 0)
+        if over and following <= passed and (quiet < 0 or self.forget is not None):
             self.waiting.removeKey((slot // BLOCK,))
             self.run.clear()
         else:
-            self._wait((slot * self.step, True, on, since, heard, hold, quiet))
+            self._wait((following, True, on, since, heard, latest, hold, quiet))
 
     def close(self) -> None:
         pass
