@@ -52,13 +52,14 @@ def functional_variance(low: np.ndarray, high: np.ndarray, value: np.ndarray) ->
     dims = [d for d in range(low.shape[1]) if real[d]]
     pieces = {d: marginal(d) for d in dims}
     mains, parts = {}, {}
+    across = lambda *some: np.delete(width, some, axis=1).prod(axis=1)
     for d in dims:
         step, inside = pieces[d]
-        mains[d] = (value * volume / width[:, d]) @ inside - mean
+        mains[d] = (value * across(d)) @ inside - mean
         parts[(d,)] = float(step @ mains[d] ** 2)
     for d, e in combinations(dims, 2):
         (step_d, in_d), (step_e, in_e) = pieces[d], pieces[e]
-        weight = value * volume / (width[:, d] * width[:, e])
+        weight = value * across(d, e)
         both = (in_d * weight[:, None]).T @ in_e - mean - mains[d][:, None] - mains[e][None, :]
         parts[(d, e)] = float(step_d @ both**2 @ step_e)
     return total, parts

@@ -22,7 +22,8 @@ class OnlineTable:
     """The latest row per entity under a folder, as a table of ``parts`` directories with ``buckets`` files each.
 
     Rows lie in parts by a hash of the entity and, inside, in buckets by Spark's own hash, so a step joins the new rows
-    to the parts they touch without moving the old ones: only new rows are shuffled. The high-water mark is written
+    to the parts they touch without moving the old ones: only new rows are shuffled (``buckets`` must be as many as the
+    session shuffles into, its default here, else Spark prefers to shuffle both). The high-water mark is written
     after the parts. A step that was lost on the way is taken again from the old mark and gives the same rows, since the
     later row of an entity wins and an equal one replaces itself. Rows without an entity cannot be looked up and stay
     out.
@@ -36,11 +37,12 @@ class OnlineTable:
         features: Sequence[str],
         contract: Contract = Contract(),
         parts: int = 16,
-        buckets: int = 8,
+        buckets: int | None = None,
     ):
         self.spark, self.folder, self.contract, self.features, self.parts = spark, folder, contract, list(features), parts
         self.columns = [*contract.entity, contract.time, *features]
         self.name = "online_" + re.sub(r"\W", "_", folder.rsplit("/", 1)[-1])
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         fields = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in self.columns)
         keys = ", ".join(f"`{c}`" for c in contract.entity)
         spark.sql(

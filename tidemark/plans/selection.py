@@ -32,12 +32,14 @@ def grouped_cuts(keys: DataFrame, group: Sequence[str], order: Sequence[str], wa
     spans = [f(c).cast("double").alias(f"__{e}_{c}") for c in numeric for f, e in ((F.min, "lo"), (F.max, "hi"))]
     sizes = keys.groupBy(GROUP).agg(F.count(F.lit(1)).alias("__n"), *spans)
     state = join_small(wanted, sizes, [GROUP], "inner").where("k >= 1 and k <= __n")
-    state = written(state.withColumn("__base", F.lit(0).cast("long")), "selection")
+    whole = {"__base": F.lit(0).cast("long"), **{f"__nulls_{c}": F.lit(True) for c in numeric}}
+    state = written(state.withColumns(whole), "selection")
 
     def inside(rows: DataFrame) -> DataFrame:
         met = join_small(rows, state, [GROUP], "inner")
         for c in numeric:
-            met = met.where(F.col(c).isNull() | F.col(c).cast("double").between(F.col(f"__lo_{c}"), F.col(f"__hi_{c}")))
+            between = F.col(c).cast("double").between(F.col(f"__lo_{c}"), F.col(f"__hi_{c}"))
+            met = met.where(F.when(F.col(c).isNull(), F.col(f"__nulls_{c}")).otherwise(F.coalesce(between, F.lit(False))))
         return met
 
     most = state.agg(F.max("__n")).first()[0] or 0
@@ -47,7 +49,7 @@ def grouped_cuts(keys: DataFrame, group: Sequence[str], order: Sequence[str], wa
         while not state.where(wide).isEmpty():
             met = inside(keys).where(wide)
             place = F.floor((F.col(column).cast("double") - lo) / (hi - lo) * BUCKETS)
-            place = F.coalesce(F.least(place, F.lit(BUCKETS - 1)), F.lit(-1))
+            place = F.when(F.col(column).isNull(), -1).otherwise(F.least(place, F.lit(BUCKETS - 1)))
             counts = met.groupBy(GROUP, place.alias("__place")).agg(
                 F.count(F.lit(1)).alias("__in"), F.min(column).cast("double").alias("__min"), F.max(column).cast("double").alias("__max"),
                 F.first("k").alias("__k"), F.first("__base").alias("__before"))
@@ -62,6 +64,7 @@ def grouped_cuts(keys: DataFrame, group: Sequence[str], order: Sequence[str], wa
                 "__base": F.when(here, F.col("__start")).otherwise(F.col("__base")),
                 f"__lo_{column}": F.when(here, F.col("__min")).otherwise(lo),
                 f"__hi_{column}": F.when(here, F.col("__max")).otherwise(hi),
+                f"__nulls_{column}": F.when(here, F.col("__min").isNull()).otherwise(F.col(f"__nulls_{column}")),
             }).drop("__in", "__min", "__max", "__start")
             state = written(state, "selection")
     nth = F.row_number().over(Window.partitionBy(GROUP).orderBy(*order)) + F.col("__base")

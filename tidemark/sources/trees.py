@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.versions import diff, part_digests
 
 PART, DIGEST = "__part", "__digest"
+MANIFEST = f"{PART} string, {DIGEST} string, n_rows long"
 
 
 @dataclass(frozen=True)
@@ -27,8 +28,8 @@ class TreeStore:
 
     ``objects/__digest=<digest>`` holds the rows of a part, once for all versions that have it; ``versions/__root=<root>``
     holds the parts of a version (``__part``, ``__digest``, ``n_rows``) and is written last, so a version is there when its
-    objects are. ``part`` says how rows are dealt into parts and must stay the same over versions: a day for logs that
-    grow, a hash of the key for tables that change. Digests do not depend on the order of rows or on tasks. A version has
+    objects are. ``part``, an expression over the row, says how rows are dealt into parts and must stay the same over versions: a day
+    for logs that grow, a hash of the key for tables that change. Digests do not depend on the order of rows or on tasks. A version has
     as many manifest rows as parts, and these are all that the driver sees.
     """
 
@@ -53,35 +54,30 @@ class TreeStore:
         root = hashlib.sha256("\n".join(f"{p}={d}" for p, d, _ in sorted(parts)).encode()).hexdigest()
         if self._exists(f"{self.versions}/__root={root}/_SUCCESS"):
             return Saved(root, len(parts), 0)
-        manifest = self.spark.createDataFrame(parts, f"{PART} string, {DIGEST} string, n_rows long")
-        known = self.spark.read.parquet(self.versions).select(DIGEST).distinct() if self._exists(self.versions) else None
+        manifest = self.spark.createDataFrame(parts, MANIFEST)
+        known = None
+        if self._exists(self.versions):
+            known = self.spark.read.schema(MANIFEST).parquet(self.versions).select(DIGEST).distinct()
         new = manifest if known is None else manifest.join(known, DIGEST, "left_anti")
         missing = sorted((r[PART], r[DIGEST]) for r in new.collect())
         if missing:
             named = self.spark.createDataFrame(missing, f"{PART} string, {DIGEST} string")
             rows = df.withColumn(PART, F.coalesce(self.part, F.lit(""))).join(F.broadcast(named), PART)
-            # equal parts of one version are one object
-            rows = rows.join(F.broadcast(named.groupBy(DIGEST).agg(F.min(PART).alias(PART))), [DIGEST, PART], "left_semi")
             out = rows.drop(PART).write.partitionBy(DIGEST).mode("overwrite")
             out.option("partitionOverwriteMode", "dynamic").parquet(self.objects)
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.versions}/__root={root}")
-        return Saved(root, len(parts), len({d for _, d in missing}))
+        return Saved(root, len(parts), len(missing))
 
     def manifest(self, root: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.versions}/__root={root}")
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.versions}/__root={root}")
 
     def _rows(self, parts: DataFrame, empty: DataFrame) -> DataFrame:
-        """The rows of some parts; equal parts are read as often as they occur."""
-        times = {r[0]: r[1] for r in parts.groupBy(DIGEST).count().collect()}
-        if not times:
+        """The rows of some parts. Rows decide their part, so two parts of a version never have the same digest."""
+        digests = sorted(r[0] for r in parts.select(DIGEST).collect())
+        if not digests:
             return empty
         read = self.spark.read.schema(empty.schema).option("basePath", self.objects)
-        found = read.parquet(*[f"{self.objects}/{DIGEST}={d}" for d in sorted(times)])
-        often = {d: n for d, n in times.items() if n > 1}
-        if often:
-            n = F.coalesce(F.create_map(*[F.lit(x) for p in often.items() for x in p])[F.col(DIGEST)], F.lit(1))
-            found = found.withColumn("__nth", F.explode(F.sequence(F.lit(1), n)))
-        return found.select(*empty.columns)
+        return read.parquet(*[f"{self.objects}/{DIGEST}={d}" for d in digests]).select(*empty.columns)
 
     def _none(self) -> DataFrame:
         """A table without rows and with the columns of the stored ones."""
