@@ -204,7 +204,7 @@ class Spelling:
         each = self.words(data, words.start[first], words.end[first] - words.start[first])
         owner = words.owner()
         sums = [np.bincount(owner, weights=e[of], minlength=len(borders) - 1) for e in each]
-        return words.count.astype(np.int64), np.array(sums).reshape(MODELS, len(borders) - 1)
+        return words.count.astype(np.int64), np.array(sums, float).reshape(MODELS, len(borders) - 1)
 
 
 SUMS = [T.StructField("n", T.LongType(), False)] + [T.StructField(f"s{m}", T.DoubleType(), False) for m in range(MODELS)]
