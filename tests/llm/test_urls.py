@@ -50,6 +50,33 @@ def test_relative_links(spark):
     assert list(row) == list(want.values())
 
 
+def test_links_name_the_address_they_resolve_to(spark):
+    """The reference list of relative links of the URI standard, with folders and dots."""
+    base = F.lit("http://A.org/b/c/d;p?q")
+    want = {
+        "g": "/b/c/g", "./g": "/b/c/g", "g/": "/b/c/g/", "/g": "/g", "?y": "/b/c/d;p?y", "g?y": "/b/c/g?y", "#s": "/b/c/d;p?q",
+        "g#s": "/b/c/g", "g?y#s": "/b/c/g?y", ";x": "/b/c/;x", ".": "/b/c/", "./": "/b/c/", "..": "/b/", "../": "/b/",
+        "../g": "/b/g", "../..": "/", "../../g": "/g", "../../../g": "/g", "/./g": "/g", "/../g": "/g", "g.": "/b/c/g.",
+        "..g": "/b/c/..g", "./../g": "/b/g", "./g/.": "/b/c/g/", "g/./h": "/b/c/g/h", "g/../h": "/b/c/h", "g?y/../x": "/b/c/g?y/../x",
+        "//a.org": "/", "HTTP://a.org?x": "/?x",
+    }
+    row = spark.range(1).select(*[urls.node_of(urls.resolved(base, F.lit(k))).alias(str(i)) for i, k in enumerate(want)]).first()
+    assert list(row) == ["http://a.org" + v for v in want.values()]
+    odd = ["mailto:x@y", "x/../y", "", None, "http://", "http://a.org/x//../y"]
+    df = spark.createDataFrame([(u,) for u in odd], "u string")
+    assert [r[0] for r in df.select(urls.node_of(F.col("u"))).collect()] == ["mailto:x@y", "x/../y", "", None, "http:///", "http://a.org/x/y"]
+
+
+def test_blocks_reach_aliases_by_relative_links(spark):
+    link = CANONICAL.format
+    rows = [
+        (1, "http://a.org/x/y.html", link('rel="canonical" href="../z.html"')), (2, "http://a.org/z.html", link('rel=canonical href="?p=2"')),
+        (3, "http://a.org/z.html?p=2", link('rel=canonical href="http://bad.net/"')), (4, "http://c.org", link('rel=canonical href="http://d.net/./"')),
+        (5, "http://c.org/", None), (6, "http://c.org/#top", None), (7, "http://c.org/other", None),
+    ]
+    assert {k: v[3] for k, v in judged(spark, rows).items()} == dict.fromkeys(range(1, 7), "block") | {7: "allow"}
+
+
 def test_a_long_chain_and_a_hot_target(spark):
     rows = [(i, f"http://p{i}.org/", CANONICAL.format(f'rel="canonical" href="http://p{i + 1}.org/"')) for i in range(80)]
     rows += [(100 + i, f"http://q{i}.org/", CANONICAL.format('rel="canonical" href="http://p80.org/"')) for i in range(300)]

@@ -92,3 +92,12 @@ def test_trees_cover_and_prune():
 
 def test_empty(spark):
     assert vectors.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_vectors_that_share_an_id_keep_their_own_links(spark):
+    rows = [(1, 0, [1.0, 0.0]), (1, 0, [0.0, 1.0]), (2, 0, [1.0, 0.01]), (3, 0, [0.01, 1.0]), (4, 0, [1.0, 0.02]),
+            (5, 1, [1.0, 0.0]), (5, 2, [0.0, 1.0]), (6, 1, [1.0, 0.01]), (7, 2, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    links = sorted((r.vec_id, r.n_links) for r in vectors.near_vectors(df).collect())
+    assert links == [(1, 1), (1, 2), (2, 2), (3, 1), (4, 2), (5, 0), (5, 1), (6, 1), (7, 0)]
+    assert {r.component_id for r in vectors.near_vectors(df).where("vec_id in (2, 3, 4)").collect()} == {1}

@@ -38,22 +38,42 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return best
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root with its "." and ".." segments taken out; one that ends in either ends in "/"."""
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    last = F.element_at(parts, -1)
+    parts = F.when(last.isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    up = lambda kept: F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == ".", kept).when(s == "..", up(kept)).otherwise(F.concat(kept, F.array(s))))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
 def node_of(url: Column) -> Column:
-    """What makes two spellings one address: scheme and host in lower case, no fragment."""
+    """What makes two spellings one address: scheme and host in lower case, no dot segments, "/" for no path, no
+    fragment. What has no host stays as it is."""
     bare = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
     head = F.regexp_extract(bare, r"(?s)^(.*?://[^/?]*)", 1)
-    return F.concat(F.translate(head, UPPER, LOWER), F.substr(bare, F.length(head) + 1))
+    rest = F.substr(bare, F.length(head) + 1)
+    path, query = F.regexp_extract(rest, r"(?s)^([^?]*)", 1), F.regexp_extract(rest, r"(?s)^[^?]*(.*)$", 1)
+    path = F.when(path.startswith("/"), without_dots(path)).otherwise("/")
+    return F.when(head == "", bare).otherwise(F.concat(F.translate(head, UPPER, LOWER), path, query))
 
 
 def resolved(base: Column, link: Column) -> Column:
-    """A link as an absolute address: absolute, from the scheme, from the root, or from the folder of ``base``."""
+    """A link as an absolute address: absolute, from the scheme, from the root, a query or fragment of ``base`` itself, or
+    from its folder. Dot segments are left to `node_of`."""
     site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"(?s)^(.*?:)//", 1)
-    folder = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*((?:[^/?#]*/)*)", 1)
+    path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_extract(path, r"(?s)^((?:[^/]*/)*)", 1)
     return (
         F.when(link.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
         .when(link.startswith("/"), F.concat(site, link))
+        .when(link.startswith("?"), F.concat(site, F.when(path == "", "/").otherwise(path), link))
+        .when(link.startswith("#"), base)
         .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), link))
     )
 

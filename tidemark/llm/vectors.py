@@ -156,8 +156,8 @@ def near_vectors(
     with the label, and a task returns counts and a forest of edges, never its pairs.
 
     Null, empty and zero vectors, vectors with null or non-finite entries, and null labels link with nothing: 0 links,
-    own component. Rows with a null id link with nothing and have a null component. Repeated rows with the same id
-    count as rows of their own and share a component.
+    own component. Rows with a null id link with nothing and have a null component. Rows that share an id are vectors of
+    their own, with their own links and, where links do not join them, their own components.
     """
     rows = vectors.select(
         F.col(id_col).alias("vec_id"), F.col(label).alias("__label"), F.col(vector).alias("__vector")
@@ -168,11 +168,13 @@ def near_vectors(
         & F.exists("__vector", lambda v: v != 0)
     )
     rows = rows.withColumn("__ok", F.coalesce(usable, F.lit(False)))
-    nodes = rows.where("__ok").groupBy("__label", "__vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("many"))
-    nodes = written(nodes.withColumn("dim", F.size("__vector")), "nodes")
+    nodes = rows.where("__ok").groupBy("__label", "__vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("many"))
+    # a node is a label and a vector: ids may repeat, so it gets a key of its own, written with it
+    nodes = nodes.withColumns({"dim": F.size("__vector"), "node": F.monotonically_increasing_id()})
+    nodes = written(nodes, "nodes")
     sizes = nodes.groupBy("__label", "dim").agg(F.count("*").alias("rows"))
     chunks = F.ceil(F.col("rows") / CHUNK).cast("int")
-    dealt = nodes.join(sizes, ["__label", "dim"]).withColumn("own", F.pmod(F.xxhash64("node", "__vector"), chunks).cast("int"))
+    dealt = nodes.join(sizes, ["__label", "dim"]).withColumn("own", F.pmod(F.xxhash64("id", "__vector"), chunks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     dealt = dealt.select(
         F.col("__label").alias("label"), "dim", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
@@ -185,10 +187,12 @@ def near_vectors(
     found = written(found, "links")
     counts = found.groupBy("node").agg(F.sum("n").alias("links"))
     groups = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    known = nodes.join(counts, "node", "left").join(groups, "node", "left").select(
+    nodes = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    nodes = written(nodes, "grouped-nodes")
+    named = nodes.groupBy("component").agg(F.min("id").alias("least"))
+    known = nodes.join(counts, "node", "left").join(named, "component").select(
         F.col("__label").alias("l"), F.col("__vector").alias("v"),
-        (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component"),
+        (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.col("least").alias("component"),
     )
     same = (rows["__label"] == known["l"]) & (rows["__vector"] == known["v"]) & rows["__ok"]
     out = rows.join(known, same, "left").withColumn("component_id", F.coalesce("component", "vec_id"))
