@@ -198,9 +198,9 @@ def unexpected_values(df: DataFrame, column: str, allowed: Sequence) -> DataFram
     return outside.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def label_rate(df: DataFrame, label: str) -> DataFrame:
-    """Share of positives; degenerate when there is only one class."""
-    rate = df.agg(F.count(label).alias("n_rows"), F.avg(label).alias("rate"))
+def label_rate(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Share of positives (of every group); degenerate when there is only one class."""
+    rate = df.groupBy(*by).agg(F.count(label).alias("n_rows"), F.avg(label).alias("rate"))
     mixed = (F.col("rate") > 0) & (F.col("rate") < 1)
     return rate.withColumn("degenerate", ~F.coalesce(mixed, F.lit(False)))
 

@@ -395,7 +395,8 @@ def seasonal_psi(spark, sf):
     + f"""
     , roll AS ({ROLLUP}), s AS ({SCORED_SQL}), p AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS predicted FROM s),
     f AS (SELECT {RATES} FROM (SELECT {CONFUSION} FROM p))
-    SELECT dataset_drift, f1 < 0.7 AS gate_failed, true AS new_data, true AS retrain FROM roll, f
+    , d AS (SELECT count(*) <> count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS new_data FROM events)
+    SELECT dataset_drift, f1 < 0.7 AS gate_failed, new_data, dataset_drift OR f1 < 0.7 OR new_data AS retrain FROM roll, f, d
     """,
 )
 def retrain_decision(spark, sf):
@@ -411,6 +412,30 @@ def retrain_decision(spark, sf):
     return dr.retrain_decision(rolled, gate, both)
 
 
+@query(
+    "retrain_not_needed",
+    PERIODS
+    + _frame_sql("long", "feature")
+    + _ks_sql("feature")
+    + f"""
+    , roll AS ({ROLLUP}), s AS ({SCORED_SQL}), p AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS predicted FROM s),
+    f AS (SELECT {RATES} FROM (SELECT {CONFUSION} FROM p)),
+    d AS (SELECT count(*) <> count(*) FILTER (WHERE ts < TIMESTAMP '2034-01-01') AS new_data FROM events)
+    SELECT dataset_drift, f1 < 0.1 AS gate_failed, new_data, dataset_drift OR f1 < 0.1 OR new_data AS retrain FROM roll, f, d
+    """,
+)
+def retrain_not_needed(spark, sf):
+    """The same decision where no column drifts, the gate is low and the table is the one last trained on."""
+    rolled = dr.dataset_drift(dr.ks_drift(_periods(spark, sf), MEASURES))
+    report = ev.metrics_long(ev.classification_report(scored(spark, sf), "label", "score"))
+    log = events(spark, sf)
+    then = log.where(F.col("ts") < F.lit("2034-01-01").cast("timestamp_ntz"))
+    marks = [fingerprint(d).select(F.lit(n).alias("v"), "version") for d, n in ((then, "old"), (log, "new"))]
+    both = marks[0].unionByName(marks[1]).agg(
+        *[F.max(F.when(F.col("v") == n, F.col("version"))).alias(n) for n in ("old", "new")])
+    return dr.retrain_decision(rolled, ev.quality_gate(report, "f1", 0.1), both)
+
+
 SNAPSHOT = "2024-01-11"
 ROLLING = f"""
   WITH l AS (SELECT ts, unnest(['value', 'user_id']) AS feature, unnest([value::DOUBLE, user_id::DOUBLE]) AS value FROM events),

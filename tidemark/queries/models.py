@@ -1,5 +1,9 @@
 """Scoring arithmetic on the embeddings table, and models trained on the event log."""
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
@@ -188,6 +192,106 @@ def gbt_score(spark, sf):
     return md.holdout_report(model, data.where("split = 'test'"), "label")
 
 
+STUMP = """
+  WITH l AS (SELECT event_id, user_id % 8 AS x, CAST(event_type = 'error' AS INTEGER) AS label FROM events),
+       c AS (SELECT cut, count(*) AS n, count(*) FILTER (WHERE x <= cut) AS n0, sum(label) FILTER (WHERE x <= cut) AS p0,
+                    sum(label) AS p FROM l, (SELECT unnest(range(7)) AS cut) GROUP BY cut),
+       g AS (SELECT *, p0 / n0 AS left_rate, (p - p0) / (n - n0) AS right_rate,
+                    n0 * (p0 / n0) ** 2 + (n - n0) * ((p - p0) / (n - n0)) ** 2 AS gain FROM c),
+       b AS (SELECT * FROM g ORDER BY gain DESC LIMIT 1),
+       s AS (SELECT event_id, label, 1 / (1 + exp(-2 * (2 * CASE WHEN x <= cut THEN left_rate ELSE right_rate END - 1))) AS score
+             FROM l, b)
+"""
+
+
+def _stump(spark, sf):
+    """One tree of one split over a column of eight values: a model that SQL can fit by trying every split."""
+    rows = labelled(spark, sf).select("event_id", "label", (F.col("user_id") % 8).cast("double").alias("x"))
+    tree = {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0}
+    return rows, md.fit(rows, md.estimator("trees", features=["x"], label="label", params=tree), ["x"], "label")
+
+
+@query("stump_probability", STUMP + "SELECT event_id, round(score, 6) AS score FROM s")
+def stump_probability(spark, sf):
+    rows, model = _stump(spark, sf)
+    return rounded(sc.positive_probability(model.transform(rows)).select("event_id", "score"))
+
+
+@query(
+    "stump_batches",
+    STUMP
+    + """
+    , r AS (SELECT event_id, score, CAST(floor(CAST('0x' || substr(md5(event_id || '|7'), 1, 8) AS BIGINT)
+                   / 4294967296.0::DOUBLE * 20) AS INTEGER) AS request FROM s)
+    SELECT request, CAST(row_number() OVER (PARTITION BY request ORDER BY event_id) - 1 AS INTEGER) AS position, event_id,
+           round(score, 6) AS failure_probability, score >= 0.5 AS will_fail FROM r
+    """,
+)
+def stump_batches(spark, sf):
+    """Batch scoring whose answers SQL can check: twenty requests, answered in the order asked."""
+    rows, model = _stump(spark, sf)
+    asked = rows.groupBy(hash_bucket(["event_id"], 7, 20).alias("request")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "x"))).alias("readings"))
+    scored = sc.score_readings(model, sc.explode_requests(asked, "request"), ["request", "position", "event_id"])
+    answers = sc.gather_responses(scored, "request", "event_id").select("request", F.posexplode("predictions").alias("position", "p"))
+    return rounded(answers.select("request", "position", "p.*"))
+
+
+@query(
+    "logistic_rates",
+    """
+    SELECT event_id, round(avg(CAST(event_type = 'error' AS INTEGER)) OVER (PARTITION BY value > 20), 3) AS score FROM events
+    """,
+)
+def logistic_rates(spark, sf):
+    """Logistic regression on one yes-or-no column: its probabilities are the rates of the two groups."""
+    rows = labelled(spark, sf).select("event_id", "label", (F.col("value") > 20).cast("double").alias("high"))
+    model = md.fit(rows, md.estimator("logistic", features=["high"], label="label", params={"tol": 1e-9}), ["high"], "label")
+    return rounded(sc.positive_probability(model.transform(rows)).select("event_id", "score"), 3)
+
+
+@query(
+    "search_folds",
+    """
+    WITH s AS (SELECT event_id, value AS x, lead(value) OVER (PARTITION BY user_id ORDER BY ts) AS y FROM events),
+         p AS (SELECT x, y, CAST(floor(CAST('0x' || substr(md5(event_id || '|42'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE * 5)
+                                 AS INTEGER) AS fold FROM s WHERE y IS NOT NULL),
+         m AS (SELECT f, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, sum(x * y) / sum(x * x) AS through
+               FROM p, (SELECT unnest(range(5)) AS f) WHERE fold <> f GROUP BY f),
+         e AS (SELECT f, sqrt(avg((y - slope * x - intercept) ** 2)) AS with_line, sqrt(avg((y - through * x) ** 2)) AS without
+               FROM p JOIN m ON fold = f GROUP BY f)
+    SELECT 0::BIGINT AS number, round(avg(with_line), 6) AS value FROM e UNION ALL SELECT 1, round(avg(without), 6) FROM e
+    """,
+)
+def search_folds(spark, sf):
+    """A search whose trials SQL can score: a regression line with and without its intercept, over five hashed folds."""
+    log = events(spark, sf).select("event_id", "user_id", "ts", "value")
+    following = F.lead("value").over(Window.partitionBy("user_id").orderBy("ts"))
+    pairs = log.withColumn("y", following).where("y is not null")
+    data = written(kfold(pairs, ["event_id"], 5).select("fold", "y", F.col("value").alias("x")), "pairs")
+    line = Pipeline(stages=[
+        VectorAssembler(inputCols=["x"], outputCol="features"), LinearRegression(labelCol="y", solver="normal")])
+    settings = [{"fitIntercept": True}, {"fitIntercept": False}]
+    results, _ = md.search(data, line, settings, "y", metric="rmse", folds=5, fold_column="fold")
+    return rounded(md.trial_table(spark, results).select("number", "value"))
+
+
+@query(
+    "window_tail_split",
+    """
+    WITH s AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i,
+                      count(*) OVER (PARTITION BY user_id) AS n FROM events),
+         w AS (SELECT user_id, ts FROM s WHERE i >= 6 AND i + 3 <= n)
+    SELECT user_id, ts, CASE WHEN row_number() OVER (ORDER BY ts, user_id)
+           <= count(*) OVER () - greatest(1, floor(count(*) OVER () * 0.2::DOUBLE)) THEN 'train' ELSE 'test' END AS split
+    FROM w
+    """,
+)
+def window_tail_split(spark, sf):
+    """The last fifth of the windows is for testing."""
+    return temporal_split(written(_windows(spark, sf), "windows"), 0.2, contract=LOG).select("user_id", "ts", "split")
+
+
 @query("logreg_score")
 def logreg_score(spark, sf):
     """Ten-class logistic regression on the embeddings with a hash split."""

@@ -100,7 +100,7 @@ def domain_violations(spark, sf):
     "label_rate",
     """
     SELECT count(*) AS n_rows, round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS rate,
-           false AS degenerate FROM events
+           count(DISTINCT event_type = 'error') < 2 AS degenerate FROM events
     """,
 )
 def label_rate(spark, sf):
@@ -221,3 +221,43 @@ def downsample_hourly(spark, sf):
 @query("drop_outliers", "SELECT event_id, user_id, ts, value FROM events WHERE value BETWEEN 1 AND 200")
 def drop_outliers(spark, sf):
     return q.drop_outliers(events(spark, sf), {"value": (1, 200)}).select("event_id", "user_id", "ts", "value")
+
+
+@query(
+    "label_rates_by_user",
+    """
+    SELECT user_id, count(*) AS n_rows, round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS rate,
+           count(DISTINCT event_type = 'error') < 2 AS degenerate FROM events GROUP BY user_id
+    """,
+)
+def label_rates_by_user(spark, sf):
+    """Users of which some have never failed, or always: one class is no training set."""
+    return rounded(q.label_rate(labelled(spark, sf), "label", ["user_id"]))
+
+
+@query(
+    "request_quarantine",
+    """
+    SELECT event_id, concat_ws(' ', CASE WHEN user_id IS NULL THEN 'not_null:user_id' END,
+                               CASE WHEN value IS NULL THEN 'not_null:value' END,
+                               CASE WHEN value NOT BETWEEN 1 AND 60 THEN 'in_range:value' END) AS reasons FROM events WHERE value NOT BETWEEN 1 AND 60 OR value IS NULL OR user_id IS NULL
+    """,
+)
+def request_quarantine(spark, sf):
+    """Readings that a scoring request may not hold, with the rules they break."""
+    rules = q.request_rules("user_id", {"value": (1, 60)})
+    return q.with_reasons(events(spark, sf), rules).where(F.size("reasons") > 0).select(
+        "event_id", F.array_join("reasons", " ").alias("reasons"))
+
+
+@query(
+    "column_roles",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n FROM lineitem"
+                       for c in ("l_linenumber", "l_quantity", "l_extendedprice", "l_tax")),
+)
+def column_roles(spark, sf):
+    """The number columns of lineitem that are neither keys nor the label (the discount), each with its rows."""
+    lines = table(spark, sf, "lineitem")
+    roles = q.feature_roles(lines, "l_discount", ["l_orderkey", "l_partkey", "l_suppkey"])
+    counts = lines.agg(*[F.count(c).alias(c) for c in roles])
+    return counts.unpivot([], roles, "feature", "n")

@@ -264,7 +264,7 @@ def asof_coverage(spark, sf):
     "leak_audit",
     SQL_SIDES
     + """
-    SELECT count(*) AS n_rows, count(c.feature_ts) AS n_matched, CAST(0 AS BIGINT) AS n_leaking
+    SELECT count(*) AS n_rows, count(c.feature_ts) AS n_matched, count(*) FILTER (WHERE c.feature_ts > s.ts) AS n_leaking
     FROM s ASOF LEFT JOIN c ON s.user_id = c.user_id AND s.ts >= c.feature_ts
     """,
 )
