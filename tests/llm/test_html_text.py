@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import pytest
@@ -97,3 +98,20 @@ def test_named_boxes_with_articles_of_their_own_stay_beside():
     teasers = "".join(f"<article><p>{LONG}</p></article>" for _ in range(2))
     html = f"<article><p>{LONG}</p><p>{LONG} {LONG}</p></article><div class=related-posts>{teasers}</div>"
     assert html_text.main_text(html) == f"{LONG}\n{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 400_000, "<a \"x' " * 60_000, "<a " * 100_000 + '">', "<script>" + "</script " * 100_000,
+    "<div class='" + "a_" * 200_000 + "'>", "<a ' <b \" " * 50_000,
+])
+def test_tags_that_never_end_take_a_few_passes(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    html_text.main_text("<article><p>One, two, three, four. Five, six.</p></article>" + page)
+    assert time.process_time() - start < 6
+
+
+def test_what_follows_a_broken_tag_is_still_read():
+    page = "<div>a < b, said <i \"x <b>they</b>.</div><article><p>A text, with stops, and words.</p></article>"
+    assert "A text, with stops, and words." in html_text.main_text(page)
+    assert html_text.Tags('<a "><b>').next(0)[3] == "b"

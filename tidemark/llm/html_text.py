@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Sequence
 from html import unescape
 
@@ -13,10 +14,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.batches import with_text_columns
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+#: one run of attribute text without quotes, or one quoted value
+ATTRIBUTES = re.compile(r"[^>\"']++|\"[^\"]*+\"|'[^']*+'")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: elements whose text is never content; the first group is not even markup inside
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
@@ -53,6 +53,49 @@ SMOOTH = np.exp(-np.arange(-2, 3) ** 2 / 2.0)
 SMOOTH /= SMOOTH.sum()
 
 
+class Tags:
+    """The tags and comments of a page, in one pass over it.
+
+    A tag ends at the first ">" outside quotes. Where there is none, "<" is text, and so is every "<" that the search for
+    it has passed outside quotes: those places are kept and not searched again, so a page of tags that never end takes a
+    few passes, not one for each.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.open: list[tuple[int, int]] = []  # runs outside quotes from which no ">" is reached, ascending
+
+    def _end(self, at: int) -> int:
+        """The place of the ">" that ends a tag whose attributes begin at ``at``; -1 for none."""
+        html, runs = self.html, []
+        while True:
+            k = bisect_right(self.open, (at, len(html)))
+            if k and self.open[k - 1][0] <= at < self.open[k - 1][1]:
+                break
+            if html.startswith(">", at):
+                return at
+            run = ATTRIBUTES.match(html, at)
+            if not run:
+                break
+            if html[at] not in "\"'":
+                runs.append((at, run.end()))
+            at = run.end()
+        if runs:
+            self.open = sorted([*self.open, *runs])
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", name, attributes) of the next tag or comment from ``at``; comments have no name."""
+        while found := TOKEN.search(self.html, at):
+            if not found[2]:
+                return found.start(), found.end(), "", "", ""
+            end = self._end(found.end())
+            if end >= 0:
+                return found.start(), end + 1, found[1], found[2].lower(), self.html[found.end() : end]
+            at = found.start() + 1
+        return None
+
+
 class Leaf:
     __slots__ = ("path", "chain", "text", "beside", "named")
 
@@ -82,15 +125,15 @@ def leaves(html: str) -> list[Leaf]:
             named.pop()
         del names[at:], marks[at:], numbers[at:]
 
-    at = 0
-    while tag := TOKEN.search(html, at):
-        if tag.start() > at:
-            text.append(html[at : tag.start()])
-        at = tag.end()
-        name = (tag[2] or "").lower()
+    at, tags = 0, Tags(html)
+    while tag := tags.next(at):
+        start, end, closing, name, said = tag
+        if start > at:
+            text.append(html[at:start])
+        at = end
         if not name:
             continue
-        if tag[1]:
+        if closing:
             if name in INLINE:
                 continue
             if name == "br":
@@ -102,8 +145,9 @@ def leaves(html: str) -> list[Leaf]:
             continue
         if name in RAW:
             # nothing inside is markup: go on behind its end tag
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            last = re.compile(rf"</{re.escape(name)}\b", re.I).search(html, at)
+            at = html.find(">", last.end()) + 1 if last else 0
+            at = at or len(html)
             if name not in INLINE:
                 flush()
             continue
@@ -129,12 +173,14 @@ def leaves(html: str) -> list[Leaf]:
                     break
         if name in HEADINGS and names and names[-1] in HEADINGS:
             close(len(names) - 1)
-        if tag[3].endswith("/"):
+        if said.endswith("/"):
             continue
-        said = " ".join((m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(tag[3])).split()
-        said = [w for w in said if not LAYOUT.match(w)]
+        hidden = bool(HIDDEN.search(said))
+        said = " ".join((m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(said)).split()
+        # a word of hundreds of letters names no box
+        said = [w for w in said if len(w) <= 200 and not LAYOUT.match(w)]
         inner = "article" in names or "main" in names
-        beside = name in APART or (not inner and name == "header") or bool(HIDDEN.search(tag[3]))
+        beside = name in APART or (not inner and name == "header") or hidden
         called = any(map(BESIDE.search, said)) or (not inner and "header" in said)
         if name in ("html", "body", "main", "article"):
             beside = called = False
