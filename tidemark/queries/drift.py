@@ -12,7 +12,7 @@ from tidemark.operators import rolling as ro
 from tidemark.operators import store as st
 from tidemark.operators.splits import reference_current
 from tidemark.plans.scratch import written
-from tidemark.queries.base import LOG, SCORED_SQL, events, labelled, rounded, scored
+from tidemark.queries.base import LINES, LOG, SCORED_SQL, events, labelled, rounded, scored
 from tidemark.queries.evaluation import CONFUSION, RATES
 from tidemark.session import table
 from tidemark.sources.versions import fingerprint
@@ -488,3 +488,17 @@ def stream_concept_drift(spark, sf):
     labelled = jobs.run_to_table(joined, "feedback", *endings)
     daily = labelled.select(truncated(labelled, "ts", "day").alias("period"), "label", "score")
     return rounded(ev.classification_report(daily, "label", "score", 0.1, ["period"]).drop("aucpr"))
+
+
+@query(
+    "shared_column_drift",
+    PERIODS + _frame_sql("long", "feature") + _ks_sql("feature")
+    + " SELECT * FROM result WHERE feature IN ('l_quantity', 'l_extendedprice', 'l_discount')",
+)
+def shared_column_drift(spark, sf):
+    """Columns nobody names: the numbers that both tables have, without keys, time and label."""
+    sides = _periods(spark, sf).withColumn("l_partkey", F.lit(1))
+    reference = sides.where("side = 'reference'").drop("side").withColumn("only_here", F.lit(1))
+    current = sides.where("side = 'current'").drop("side")
+    columns = dr.monitored_columns(reference, current, contract=LINES, label="l_tax", numeric=True)
+    return rounded(dr.ks_drift(dr.stack_sides(reference, current, columns), columns))

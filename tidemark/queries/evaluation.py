@@ -7,6 +7,7 @@ from tidemark.functions.exprs import argmax
 from tidemark.operators import evaluation as ev
 from tidemark.operators import features as fx
 from tidemark.plans.scratch import written
+from tidemark.plans.scratch import fresh_path
 from tidemark.queries.base import LOG, SCORED_SQL, labelled, rounded, scored
 from tidemark.session import table
 
@@ -225,3 +226,20 @@ def quality_gate(spark, sf):
 )
 def calibration_bins(spark, sf):
     return rounded(ev.calibration_bins(scored(spark, sf), "label", "score"))
+
+
+@query(
+    "report_sink",
+    f"""
+    {S}, k AS (SELECT {CONFUSION} FROM p), f AS (SELECT {RATES} FROM k)
+    SELECT 'f1' AS metric, f1 AS value FROM f UNION ALL SELECT 'precision', precision FROM f
+    UNION ALL SELECT 'recall', recall FROM f UNION ALL SELECT 'gate_passed', CAST(f1 >= 0.7 AS DOUBLE) FROM f
+    """,
+)
+def report_sink(spark, sf):
+    """The report as it is written for others, read back."""
+    found = ev.metrics_long(ev.classification_report(scored(spark, sf), "label", "score"))
+    path = fresh_path(spark, "report")
+    ev.write_report(found, ev.quality_gate(found), path)
+    rows = spark.read.text(path).select(F.explode(F.from_json("value", "map<string,double>")).alias("metric", "value"))
+    return rounded(rows.where(F.col("metric").isin("f1", "precision", "recall", "gate_passed")))

@@ -8,6 +8,7 @@ from tidemark.catalog import query
 from tidemark.contract import Contract
 from tidemark.functions.times import truncated
 from tidemark.operators import features as fx
+from tidemark.operators.quality import validate_manifest
 from tidemark.operators.splits import temporal_split
 from tidemark.operators.store import latest_rows
 from tidemark.plans.scratch import fresh_path
@@ -251,3 +252,45 @@ def version_parts(spark, sf):
 def version_tree_diff(spark, sf):
     store, roots = _saved_twice(spark, sf)
     return store.diff(*roots)
+
+
+@query("scan_csv", "SELECT event_id, user_id, ts, event_type, value FROM events")
+def scan_csv(spark, sf):
+    """The event log from CSV files whose columns stand in another order, beside one that nobody asked for."""
+    df = events(spark, sf).select("event_id", "user_id", "ts", "event_type", "value")
+    path = fresh_path(spark, "sensors") + ".csv"
+    turned = df.select("value", F.lit("x").alias("note"), "event_type", F.col("ts").cast("string").alias("ts"), "user_id", "event_id")
+    turned.write.option("header", True).csv(path)
+    return tb.read_sensors(spark, {"data": {"source": path}}, schema=df.schema)
+
+
+@query(
+    "scan_cycles",
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) AS machine_id, TIMESTAMP '2024-01-01' + l_linenumber * INTERVAL 1 HOUR AS event_timestamp,
+           l_quantity, l_discount FROM lineitem
+    """,
+)
+def scan_cycles(spark, sf):
+    """Run-to-failure text: unit, cycle and readings between blanks, without a header."""
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount"]
+    lines = table(spark, sf, "lineitem").select(F.concat_ws("  ", *[F.col(c).cast("string") for c in columns]).alias("value"))
+    path = fresh_path(spark, "cycles")
+    lines.select(F.concat(F.lit(" "), "value", F.lit(" ")).alias("value")).write.text(path)
+    rows = tb.read_cycles(spark, path, columns, datetime(2024, 1, 1))
+    return rows.select("machine_id", "event_timestamp", "l_quantity", "l_discount")
+
+
+@query(
+    "manifest_counts",
+    """
+    WITH p AS (SELECT string_split(regexp_replace(url, '^[a-z]+://', ''), '/') AS parts FROM pages)
+    SELECT CASE WHEN len(parts) >= 2 THEN parts[len(parts) - 1] ELSE 'unknown' END AS label,
+           CASE WHEN len(parts) >= 3 THEN parts[1] ELSE 'unknown' END AS split, count(*) AS n
+    FROM p GROUP BY ALL
+    """,
+)
+def manifest_counts(spark, sf):
+    """A manifest that has passed its check (columns there, not empty), counted by split and label."""
+    return validate_manifest(path_manifest(spark, sf), allow_empty=False).groupBy("label", "split").agg(
+        F.count(F.lit(1)).alias("n"))
