@@ -73,4 +73,4 @@ def test_splits_are_stable_and_exact(spark):
     assert weights == {0: 1000 / 1800, 1: 1000 / 200}
     assert set(r["fold"] for r in sp.kfold(df, ["id"]).select("fold").distinct().collect()) == set(range(5))
     assert sp.temporal_split(df.limit(0), 0.2, contract=Contract(("y",), "id")).isEmpty()
-    assert sp.with_class_weights(df, "y").count() == 1000 and sp.resample(df, "y", {1: 1.0}).count() == 100
+    assert sp.with_class_weights(df, "y").count() == 1000 and sp.resample(df, "y", ["id"], {1: 50}).count() == 50
