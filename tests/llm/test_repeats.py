@@ -88,3 +88,42 @@ def test_suffix_order(alphabet):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(df).count() == 0
+
+
+def test_equal_windows_share_an_anchor_wherever_they_stand(spark, monkeypatch):
+    rng = random.Random(3)
+    free = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    code = lambda g: int(repeats.gram_hashes(np.frombuffer(g.encode(), np.uint8), 16)[0])
+    least = min((free(16) for _ in range(5000)), key=code)
+    passage = free(10) + least + free(6) + least + free(16)  # the least gram of the window, twice
+    assert len(passage) == 64
+    leads = [(1 << 20) - 20, 700, 15]
+    texts = [free(lead) + passage + free(50) for lead in leads]
+    for lead, text in zip(leads, texts):
+        _, first, last, at, _, _ = repeats.anchors_of(np.frombuffer(text.encode(), np.uint8), 64, 16)
+        (i,) = np.flatnonzero((first <= lead) & (last >= lead))
+        assert at[i] - lead == 10
+    # the anchor is split by distance, and each part is sorted alone
+    monkeypatch.setattr(repeats, "ANCHOR_STARTS", 60)
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 1)
+    rows = list(enumerate(texts[:2]))
+    assert found(spark, rows, length=64, gram=16) == brute(rows, 64)
+
+
+@pytest.mark.parametrize("gram", [8, 16])
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghij"])
+def test_anchors_are_the_leftmost_least_grams(alphabet, gram):
+    rng = random.Random(f"{alphabet} {gram}")
+    for _ in range(40):
+        period = "".join(rng.choices(alphabet, k=rng.choice([5, 40, 64 - gram + 1])))
+        free = "".join(rng.choices(alphabet, k=rng.randrange(300)))
+        text = np.frombuffer((free + period * rng.randrange(6) + free[:90]).encode(), np.uint8)
+        codes, first, last, at, lo, hi = repeats.anchors_of(text, 64, gram)
+        wanted = {}
+        if len(text) >= 64:
+            hashes = repeats.gram_hashes(text, gram).tolist()
+            wanted = {s: min(range(s, s + 64 - gram + 1), key=lambda p: (hashes[p], p)) for s in range(len(text) - 63)}
+        got = {s: int(p) for a, b, p in zip(first, last, at) for s in range(a, b + 1)}
+        known = {s for a, b in zip(lo, hi) for s in range(a, b + 1)}
+        assert all(wanted[s] == p for s, p in got.items())
+        assert set(wanted) - set(got) <= known
