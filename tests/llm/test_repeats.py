@@ -127,3 +127,17 @@ def test_anchors_are_the_leftmost_least_grams(alphabet, gram):
         known = {s for a, b in zip(lo, hi) for s in range(a, b + 1)}
         assert all(wanted[s] == p for s, p in got.items())
         assert set(wanted) - set(got) <= known
+
+
+def test_joins_by_anchor_and_by_text_have_plain_sides(spark, monkeypatch):
+    plans = {}
+
+    def written(df, name, write=repeats.written):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(repeats, "written", written)
+    df = spark.createDataFrame([(i, "a" * 500) for i in range(3)], "doc_id long, text string")
+    plan = repeats.remove_repeats(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # else Spark does not split a side with very many rows of a key
+    assert plans["kinds"].count("Aggregate") == 1  # of the joined rows, by anchor and neighbourhood
