@@ -7,6 +7,7 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import LABEL, READINGS
 from tidemark.operators.evaluation import classification_report, regression_metrics
+from tidemark.operators.folded import folded_auc
 from tidemark.operators.scoring import positive_probability
 
 # Default tree settings, the light variant, folds of cross validation.
@@ -171,10 +173,15 @@ def search(
     """Score every setting and refit the best on all rows.
 
     ``metric`` is one of TABLE_METRICS or a name that Spark's binary evaluator knows. One train/validation split, or cross validation when ``folds`` is given; ``fold_column`` names a
-    precomputed fold per row.
+    precomputed fold per row. Settings of ``logistic_classifier`` on such folds share their passes over the rows
+    (``folded_auc``).
     """
     last: Estimator = pipeline.getStages()[-1]
     grid = [{last.getParam(k): v for k, v in s.items()} for s in settings]
+    if folds and fold_column and metric == "areaUnderROC":
+        shared = folded_auc(df, pipeline, settings, label, folds, fold_column)
+        if shared is not None:
+            return [(dict(s), v) for s, v in zip(settings, shared)], pipeline.fit(df, grid[int(np.argmax(shared))])
     common = dict(estimator=pipeline, estimatorParamMaps=grid, evaluator=_judge(metric, label), parallelism=parallelism, seed=seed)
     if folds:
         tuned = CrossValidator(numFolds=folds, foldCol=fold_column, **common).fit(df)
